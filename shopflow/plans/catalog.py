@@ -80,3 +80,155 @@ def _model_query(name: str):
 for _m in ("stg_orders", "stg_customers", "stg_products", "stg_order_items",
            "fact_orders", "dim_customers", "dim_products"):
     register(_m, O.with_ctes(f"SELECT * FROM {_m}", _m))(_model_query(_m))
+
+
+# ---- source expectations (pre-load gate) -------------------------------------
+
+from shopflow.operators import quality as Q  # noqa: E402
+
+DQ_TYPES = {
+    "dq_row_count": "expect_table_row_count_to_be_between",
+    "dq_not_null": "expect_column_values_to_not_be_null",
+    "dq_unique": "expect_column_values_to_be_unique",
+    "dq_in_set": "expect_column_values_to_be_in_set",
+    "dq_regex": "expect_column_values_to_match_regex",
+    "dq_length": "expect_column_value_lengths_to_be_between",
+    "dq_between": "expect_column_values_to_be_between",
+}
+
+
+def _dq_query(t: str):
+    def q(spark, sf_dir):
+        return Q.run_suites(feeds.raw_feeds(spark, sf_dir), Q.SUITES, only={t})
+    return q
+
+
+for _k, _t in DQ_TYPES.items():
+    register(_k, O.suites_sql(Q.SUITES, only={_t}))(_dq_query(_t))
+
+
+@register("dq_suite_results", O.suites_sql(Q.SUITES))
+def dq_suite_results(spark, sf_dir):
+    """All 46 source expectations over the four landed feeds."""
+    return Q.run_suites(feeds.raw_feeds(spark, sf_dir), Q.SUITES)
+
+
+@register("dq_summary", O.summary_sql(Q.SUITES))
+def dq_summary(spark, sf_dir):
+    """Per-dataset roll-up: total / passed / failed, overall success."""
+    return Q.summarize(Q.run_suites(feeds.raw_feeds(spark, sf_dir), Q.SUITES))
+
+
+# ---- stream transforms in batch form ------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from shopflow.functions.expressions import money_product  # noqa: E402
+from shopflow.streaming import transform as ST  # noqa: E402
+
+PARSED_COLS = ["order_id", "customer_id", "product_id", "amount", "quantity", "total_value", "event_time"]
+
+
+def parsed_events(spark, sf_dir):
+    """Order-event messages of the whole events table, parsed."""
+    return ST.parse_orders(feeds.order_messages(feeds.read_table(spark, sf_dir, "events")))
+
+
+def _out(df):
+    return df.withColumn("event_time", F.col("event_time").cast("timestamp_ntz")).select(*PARSED_COLS)
+
+
+def landing(spark, sf_dir):
+    return ST.batch_landing(feeds.order_messages(feeds.read_table(spark, sf_dir, "events")))
+
+
+@register("json_parse", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")
+def json_parse(spark, sf_dir):
+    """from_json of the events' ``props`` document with a declared schema."""
+    ev = feeds.read_table(spark, sf_dir, "events")
+    return ev.select("event_id", F.from_json("props", "k INT").alias("p")).select("event_id", "p.k")
+
+
+@register("parse_order_events", O.with_ctes(f"SELECT {', '.join(PARSED_COLS)} FROM parsed", "parsed"))
+def parse_order_events(spark, sf_dir):
+    """bytes -> JSON -> flat order events with derived total (batch form of
+    the stream's stateless stage)."""
+    return _out(parsed_events(spark, sf_dir))
+
+
+@register("derive_total_value",
+          "SELECT event_id, value AS amount, CAST(json_extract_string(props, '$.k') AS INTEGER) AS quantity, "
+          "CAST(CAST(CAST(value AS DECIMAL(12,2)) * CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) "
+          "AS DECIMAL(10,0)) AS DECIMAL(18,2)) AS DOUBLE) AS total_value FROM events")
+def derive_total_value(spark, sf_dir):
+    """round(amount * quantity, 2) in exact decimal arithmetic."""
+    ev = feeds.read_table(spark, sf_dir, "events")
+    q = F.get_json_object("props", "$.k").cast("int")
+    return ev.select("event_id", F.col("value").alias("amount"), q.alias("quantity"),
+                     money_product(F.col("value"), q).alias("total_value"))
+
+
+@register("valid_split_valid", O.with_ctes(f"SELECT {', '.join(PARSED_COLS)} FROM parsed WHERE {O.VALID}", "parsed"))
+def valid_split_valid(spark, sf_dir):
+    valid, _ = ST.split_valid(parsed_events(spark, sf_dir))
+    return _out(valid)
+
+
+@register("valid_split_invalid",
+          O.with_ctes(f"SELECT {', '.join(PARSED_COLS)} FROM parsed WHERE NOT {O.VALID}", "parsed"))
+def valid_split_invalid(spark, sf_dir):
+    _, invalid = ST.split_valid(parsed_events(spark, sf_dir))
+    return _out(invalid)
+
+
+@register("except_distinct", O.with_ctes(
+    f"SELECT {', '.join(PARSED_COLS)} FROM parsed EXCEPT "
+    f"SELECT {', '.join(PARSED_COLS)} FROM parsed WHERE {O.VALID}", "parsed"))
+def except_distinct(spark, sf_dir):
+    """``batch.subtract(valid)``: the EXCEPT DISTINCT form of the split."""
+    p = _out(parsed_events(spark, sf_dir))
+    valid, _ = ST.split_valid(p)
+    return p.subtract(valid)
+
+
+# ---- model tests (post-transform) ---------------------------------------------
+
+def relations(spark, sf_dir) -> dict:
+    """Every tested relation, named as in the test catalogue."""
+    land = landing(spark, sf_dir)
+    raw = cleaned(spark, sf_dir)
+    m = M.build_models(raw, land)
+    rel = {f"raw.{k}": v for k, v in raw.items()}
+    rel["streaming.raw_orders_stream"] = land
+    rel.update(m)
+    return rel
+
+
+def _tests(kind: str):
+    return [t for t in Q.MODEL_TESTS if t.test == kind]
+
+
+def _test_query(kind: str):
+    def q(spark, sf_dir):
+        return Q.run_model_tests(relations(spark, sf_dir), _tests(kind))
+    return q
+
+
+for _kind in ("not_null", "unique", "accepted_values", "relationships", "accepted_range"):
+    register(f"test_{_kind}", O.model_tests_sql(_tests(_kind)))(_test_query(_kind))
+
+
+@register("test_suite_results", O.model_tests_sql(Q.MODEL_TESTS))
+def test_suite_results(spark, sf_dir):
+    """All 66 model tests over sources, staging and marts."""
+    return Q.run_model_tests(relations(spark, sf_dir), Q.MODEL_TESTS)
+
+
+@register("test_no_orphan_items", O.with_ctes(
+    "SELECT oi.order_id, oi.order_item_id, oi.product_id FROM stg_order_items oi "
+    "LEFT JOIN stg_orders o ON oi.order_id = o.order_id WHERE o.order_id IS NULL",
+    "stg_orders", "stg_order_items"))
+def test_no_orphan_items(spark, sf_dir):
+    """The singular test's failing rows: items without a staged order."""
+    m = models(spark, sf_dir)
+    return Q.orphan_items(m["stg_order_items"], m["stg_orders"])

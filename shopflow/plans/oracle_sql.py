@@ -132,3 +132,135 @@ def with_ctes(body: str, *names: str) -> str:
     if not ordered:
         return body
     return "WITH " + ", ".join(f"{n} AS ({defs[n]})" for n in ordered) + " " + body
+
+
+# ---- source expectations ------------------------------------------------------
+
+def _q(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return repr(v)
+
+
+def _between(x: str, lo, hi, strict=False) -> str:
+    ge, le = (">", "<") if strict else (">=", "<=")
+    parts = []
+    if lo is not None:
+        parts.append(f"{x} {ge} {_q(lo)}")
+    if hi is not None:
+        parts.append(f"{x} {le} {_q(hi)}")
+    return " AND ".join(parts) or "TRUE"
+
+
+def expectation_sql(dataset: str, idx: int, e, table: str) -> str:
+    t, kw, c = e.expectation_type, e.kwargs, e.kwargs.get("column")
+    head = f"SELECT '{dataset}' AS dataset, {idx} AS check_index, '{t}' AS expectation, "
+    col = f"'{c}'" if c else "CAST(NULL AS VARCHAR)"
+    null_b, null_s = "CAST(NULL AS BIGINT)", "CAST(NULL AS VARCHAR)"
+    if t == "expect_column_to_exist":
+        return head + f"{col} AS column_name, {null_b} AS element_count, {null_b} AS unexpected_count, " \
+                      f"TRUE AS success, {null_s} AS detail"
+    if t == "expect_table_row_count_to_be_between":
+        return head + f"{col} AS column_name, count(*) AS element_count, {null_b} AS unexpected_count, " \
+                      f"({_between('count(*)', kw.get('min_value'), kw.get('max_value'))}) AS success, " \
+                      f"{null_s} AS detail FROM {table}"
+    if t == "expect_column_values_to_be_unique":
+        return head + f"{col} AS column_name, CAST(sum(k) AS BIGINT) AS element_count, " \
+                      "CAST(coalesce(sum(CASE WHEN v IS NOT NULL AND k > 1 THEN k END), 0) AS BIGINT) AS unexpected_count, " \
+                      "coalesce(sum(CASE WHEN v IS NOT NULL AND k > 1 THEN k END), 0) = 0 AS success, " \
+                      f"{null_s} AS detail FROM (SELECT {c} AS v, count(*) AS k FROM {table} GROUP BY {c}) g"
+    if t == "expect_column_values_to_not_be_null":
+        bad = f"{c} IS NULL"
+    elif t == "expect_column_values_to_be_in_set":
+        bad = f"{c} IS NOT NULL AND {c} NOT IN ({', '.join(_q(v) for v in kw['value_set'])})"
+    elif t == "expect_column_values_to_match_regex":
+        bad = f"{c} IS NOT NULL AND NOT regexp_matches({c}, {_q(kw['regex'])})"
+    elif t == "expect_column_value_lengths_to_be_between":
+        bad = f"{c} IS NOT NULL AND NOT ({_between(f'length({c})', kw.get('min_value'), kw.get('max_value'))})"
+    elif t == "expect_column_values_to_be_between":
+        num = f"TRY_CAST({c} AS DOUBLE)"
+        bad = f"{c} IS NOT NULL AND NOT coalesce({_between(num, kw.get('min_value'), kw.get('max_value'))}, FALSE)"
+    else:
+        raise ValueError(t)
+    return head + f"{col} AS column_name, count(*) AS element_count, " \
+                  f"count(*) FILTER (WHERE {bad}) AS unexpected_count, " \
+                  f"count(*) FILTER (WHERE {bad}) = 0 AS success, {null_s} AS detail FROM {table}"
+
+
+def suites_sql(suites: dict, only: set | None = None) -> str:
+    parts = []
+    for ds in sorted(suites):
+        for idx, e in enumerate(suites[ds]):
+            if only is None or e.expectation_type in only:
+                parts.append(expectation_sql(ds, idx, e, f"raw_{ds}"))
+    feeds = [f"raw_{ds}" for ds in sorted(suites)]
+    return with_ctes(" UNION ALL ".join(parts), *feeds)
+
+
+def summary_sql(suites: dict) -> str:
+    body = suites_sql(suites)
+    return (f"SELECT dataset, count(*) FILTER (WHERE check_index >= 0) AS total, "
+            f"count(*) FILTER (WHERE check_index >= 0 AND success) AS passed, "
+            f"count(*) FILTER (WHERE check_index >= 0 AND NOT success) AS failed, "
+            f"bool_and(success) AS success FROM ({body}) r GROUP BY dataset")
+
+
+# ---- model tests ----------------------------------------------------------------
+
+REALTIME = ("SELECT order_id, customer_id, product_id, amount, quantity, total_value, event_time, "
+            "processing_time, CAST(event_time AS DATE) AS order_date, "
+            "date_trunc('hour', event_time) AS order_hour FROM landing_tbl WHERE order_id IS NOT NULL")
+LANDING_TBL = "SELECT *, current_timestamp AS processing_time FROM landing"
+
+RELATION_CTE = {
+    "raw.orders": "clean_orders", "raw.customers": "clean_customers",
+    "raw.products": "clean_products", "raw.order_items": "clean_order_items",
+    "streaming.raw_orders_stream": "landing_tbl",
+    "fact_orders_realtime": "realtime",
+}
+
+
+def _rel(name: str) -> str:
+    return RELATION_CTE.get(name, name)
+
+
+def model_test_sql(t) -> str:
+    rel, c, a = _rel(t.relation), t.column, t.args
+    if t.test == "not_null":
+        fail = f"SELECT count(*) FILTER (WHERE {c} IS NULL) AS f FROM {rel}"
+    elif t.test == "accepted_range":
+        ok = _between(c, a.get("min_value"), a.get("max_value"), strict=not a.get("inclusive", True))
+        fail = f"SELECT count(*) FILTER (WHERE NOT ({ok})) AS f FROM {rel}"
+    elif t.test == "unique":
+        fail = (f"SELECT count(*) AS f FROM (SELECT {c} FROM {rel} WHERE {c} IS NOT NULL "
+                f"GROUP BY {c} HAVING count(*) > 1) u")
+    elif t.test == "accepted_values":
+        vals = ", ".join(_q(v) for v in a["values"])
+        fail = (f"SELECT count(*) AS f FROM (SELECT {c} AS value_field, count(*) AS n FROM {rel} "
+                f"GROUP BY {c}) v WHERE value_field NOT IN ({vals})")
+    elif t.test == "relationships":
+        fail = (f"SELECT count(*) AS f FROM (SELECT {c} AS from_field FROM {rel} WHERE {c} IS NOT NULL) ch "
+                f"LEFT JOIN (SELECT {a['field']} AS to_field FROM {_rel(a['to'])}) p "
+                f"ON ch.from_field = p.to_field WHERE p.to_field IS NULL")
+    elif t.test == "no_orphan_items":
+        fail = (f"SELECT count(*) AS f FROM {rel} oi LEFT JOIN {_rel(a['to'])} o "
+                f"ON oi.order_id = o.order_id WHERE o.order_id IS NULL")
+    else:
+        raise ValueError(t.test)
+    col = f"'{c}'" if c else "CAST(NULL AS VARCHAR)"
+    return (f"SELECT '{t.relation}' AS relation, '{t.test}' AS test_name, {col} AS column_name, "
+            f"CAST(f AS BIGINT) AS failures, CASE WHEN f = 0 THEN 'pass' ELSE 'fail' END AS status "
+            f"FROM ({fail}) x")
+
+
+MODEL_CTES = ("clean_orders", "clean_customers", "clean_products", "clean_order_items",
+              "stg_orders", "stg_customers", "stg_products", "stg_order_items",
+              "fact_orders", "dim_customers", "dim_products", "landing")
+
+
+def model_tests_sql(tests) -> str:
+    body = " UNION ALL ".join(model_test_sql(t) for t in tests)
+    base = with_ctes("SELECT 1", *MODEL_CTES)
+    # append the two stream-side relations after the generated CTE list
+    ctes = base[len("WITH "):-len(" SELECT 1")]
+    return f"WITH {ctes}, landing_tbl AS ({LANDING_TBL}), realtime AS ({REALTIME}) {body}"

@@ -160,13 +160,11 @@ def order_messages(events: DataFrame) -> DataFrame:
     Some messages are delivered twice (at-least-once producer), some are not
     JSON, some lack ``event_time``; quantity is the ``k`` of ``props``.
     """
-    fields = [F.expr(e).alias(a) for a, e in EVENT_FIELDS]
-    fields.append(F.get_json_object("props", "$.k").cast("int").alias("quantity"))
-    fields.append(F.when(F.expr(EVENT_NO_TIME), F.lit(None))
-                  .otherwise(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
-                                      F.lit("+00:00")))
-                  .alias("event_time"))
-    body = F.to_json(F.struct(*fields))
+    fields = [(a, F.expr(e)) for a, e in EVENT_FIELDS]
+    fields.append(("quantity", F.get_json_object("props", "$.k").cast("int")))
+    fields.append(("event_time", F.when(F.expr(EVENT_NO_TIME), F.lit(None)).otherwise(
+        F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")))))
+    body = F.to_json(F.named_struct(*[x for a, c in fields for x in (F.lit(a), c)]))
     text = (F.when(F.expr(EVENT_NOT_JSON),
                    F.concat(F.lit("not json: ORD-"), F.col("event_id").cast("string")))
              .otherwise(body))
