@@ -232,3 +232,145 @@ def test_no_orphan_items(spark, sf_dir):
     """The singular test's failing rows: items without a staged order."""
     m = models(spark, sf_dir)
     return Q.orphan_items(m["stg_order_items"], m["stg_orders"])
+
+
+# ---- sources and sinks ----------------------------------------------------------------
+
+from shopflow.schemas import RAW_CUSTOMERS  # noqa: E402
+from shopflow.session import work_dir  # noqa: E402
+from shopflow.sources import files, sinks  # noqa: E402
+from shopflow.streaming import ingest as ING  # noqa: E402
+
+
+@register("src_csv_scan", O.with_ctes("SELECT * FROM raw_customers", "raw_customers"))
+def src_csv_scan(spark, sf_dir):
+    """Land the customer feed as CSV text, scan it back with the declared
+    schema (blanks and empty strings preserved)."""
+    path = work_dir(spark, "csv_customers")
+    files.write_csv(feeds.raw_customers(spark, sf_dir), path)
+    return files.read_csv(spark, path, RAW_CUSTOMERS)
+
+
+@register("sink_overwrite", O.with_ctes("SELECT * FROM clean_customers", "clean_customers"))
+def sink_overwrite(spark, sf_dir):
+    """Full-refresh load written twice: the second overwrite replaces, never adds."""
+    t = sinks.file_target("customers", work_dir(spark, "raw_customers"))
+    df = C.clean_customers(feeds.raw_customers(spark, sf_dir))
+    sinks.write_table(df, t, "overwrite")
+    sinks.write_table(df, t, "overwrite")
+    return sinks.read_table(spark, t)
+
+
+@register("sink_multi_target", O.with_ctes(
+    "SELECT 'parquet' AS target, * FROM clean_products UNION ALL "
+    "SELECT 'orc' AS target, * FROM clean_products", "clean_products"))
+def sink_multi_target(spark, sf_dir):
+    """One cleaned frame, computed once, loaded into two targets."""
+    root = work_dir(spark, "multi_target")
+    targets = [sinks.file_target("products", f"{root}/parquet", "parquet"),
+               sinks.file_target("products", f"{root}/orc", "orc")]
+    sinks.write_all(C.clean_products(feeds.raw_products(spark, sf_dir)), targets)
+    a, b = (sinks.read_table(spark, t) for t in targets)
+    return (a.select(F.lit("parquet").alias("target"), "*")
+             .unionByName(b.select(F.lit("orc").alias("target"), "*")))
+
+
+@register("sink_insert_if_absent", O.insert_if_absent_sql(
+    feeds.feed_sql(feeds.ORDERS_EXPRS, "orders"), feeds.feed_sql(feeds.ORDERS_COPY2_EXPRS, "orders")))
+def sink_insert_if_absent(spark, sf_dir):
+    """Target seeded with the delivered orders of the first export; the
+    second export is inserted where the key is absent (existing rows keep
+    their values)."""
+    t = sinks.file_target("orders", work_dir(spark, "insert_if_absent"))
+    seed = C.clean_orders(feeds.raw_orders(spark, sf_dir, copies=(1,))).filter(F.col("order_status") == "delivered")
+    sinks.write_table(seed, t, "overwrite")
+    sinks.append_if_absent(spark, C.clean_orders(feeds.raw_orders(spark, sf_dir, copies=(2,))), t, ["order_id"])
+    return sinks.read_table(spark, t)
+
+
+@register("stage_row_counts", O.STAGE_ROW_COUNTS)
+def stage_row_counts(spark, sf_dir):
+    """Rows per table as landed and after cleaning."""
+    raw = feeds.raw_feeds(spark, sf_dir)
+    parts = []
+    for n in ("orders", "customers", "products", "order_items"):
+        for stage, df in (("landed", raw[n]), ("cleaned", C.CLEANERS[n](raw[n]))):
+            parts.append(df.agg(F.count(F.lit(1)).alias("row_count"))
+                           .select(F.lit(n).alias("dataset"), F.lit(stage).alias("stage"), "row_count"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ---- Structured Streaming (run to completion with availableNow) ---------------------
+
+STREAM_OUT = ["order_id", "customer_id", "product_id", "amount", "quantity", "total_value", "event_time"]
+
+
+def _stream_to_files(df, spark, name):
+    root = work_dir(spark, name)
+    q = (df.writeStream.format("parquet").option("path", f"{root}/out")
+           .option("checkpointLocation", f"{root}/_checkpoint")
+           .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.parquet(f"{root}/out")
+
+
+def _ntz(df):
+    return df.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+
+
+@register("stream_parse", O.STREAM_PARSE)
+def stream_parse(spark, sf_dir):
+    """Stateless streaming stage: bytes -> JSON -> flat order events."""
+    out = _stream_to_files(_ntz(ING.parsed_stream(ING.events_source(spark, sf_dir))), spark, "stream_parse")
+    return out.select(*STREAM_OUT)
+
+
+@register("stream_dedup", O.STREAM_DEDUP)
+def stream_dedup(spark, sf_dir):
+    """Watermark + dedup within the watermark on the validity-tagged key."""
+    plan = ING.deduplicated(ING.parsed_stream(ING.events_source(spark, sf_dir)))
+    out = _stream_to_files(_ntz(plan), spark, "stream_dedup")
+    return out.select(*STREAM_OUT)
+
+
+def ingest_run(spark, sf_dir) -> ING.IngestSinks:
+    root = work_dir(spark, "ingest")
+    targets = ING.ingest_sinks(root)
+    ING.run_available(ING.events_source(spark, sf_dir), targets, f"{root}/_checkpoint")
+    return targets
+
+
+@register("stream_ingest_valid", O.STREAM_LANDING)
+def stream_ingest_valid(spark, sf_dir):
+    """Landing table after the full foreachBatch ingest of the event stream."""
+    t = ingest_run(spark, sf_dir)
+    return sinks.read_table(spark, t.landing).select(*STREAM_OUT)
+
+
+@register("stream_dead_letter", O.STREAM_DEAD)
+def stream_dead_letter(spark, sf_dir):
+    """Dead-letter table after the ingest: every rejected record, once."""
+    t = ingest_run(spark, sf_dir)
+    return sinks.read_table(spark, t.dead_letter).select(*STREAM_OUT, "reason")
+
+
+@register("dlq_envelope", O.DLQ_ENVELOPE)
+def dlq_envelope(spark, sf_dir):
+    """Per-batch dead-letter envelope: batch id, reason, record count."""
+    t = ingest_run(spark, sf_dir)
+    dead = sinks.read_table(spark, t.dead_letter).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return sinks.dead_letter_envelopes(dead).select("batch_id", "reason", "record_count")
+
+
+@register("fact_orders_realtime", O.REALTIME_NO_PT)
+def fact_orders_realtime(spark, sf_dir):
+    """Realtime mart over the streamed landing table (processing_time, a
+    wall-clock stamp, is left out of the comparison)."""
+    t = ingest_run(spark, sf_dir)
+    mart = M.fact_orders_realtime(sinks.read_table(spark, t.landing))
+    return mart.drop("processing_time")

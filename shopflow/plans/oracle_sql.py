@@ -264,3 +264,42 @@ def model_tests_sql(tests) -> str:
     # append the two stream-side relations after the generated CTE list
     ctes = base[len("WITH "):-len(" SELECT 1")]
     return f"WITH {ctes}, landing_tbl AS ({LANDING_TBL}), realtime AS ({REALTIME}) {body}"
+
+
+# ---- sinks and stream read-backs ----------------------------------------------------
+
+RAW_ORDERS_COPY = {1: "raw_orders_1", 2: "raw_orders_2"}
+
+
+def clean_orders_of(source: str) -> str:
+    return CLEAN["clean_orders"].replace("FROM raw_orders WHERE", f"FROM {source} WHERE")
+
+
+def insert_if_absent_sql(feed_copy1: str, feed_copy2: str) -> str:
+    seed = f"SELECT * FROM ({clean_orders_of('raw_orders_1')}) s WHERE order_status = 'delivered'"
+    new = clean_orders_of("raw_orders_2")
+    return (f"WITH raw_orders_1 AS ({feed_copy1}), raw_orders_2 AS ({feed_copy2}), seed AS ({seed}), "
+            f"new_rows AS ({new}) SELECT * FROM seed UNION ALL SELECT * FROM new_rows n "
+            f"WHERE NOT EXISTS (SELECT 1 FROM seed s WHERE s.order_id = n.order_id)")
+
+
+STREAM_COLS = "order_id, customer_id, product_id, amount, quantity, total_value, event_time"
+STREAM_PARSE = with_ctes(f"SELECT {STREAM_COLS} FROM parsed", "parsed")
+# one row per message key: redeliveries are identical messages
+STREAM_DEDUP = with_ctes(f"SELECT {STREAM_COLS} FROM parsed WHERE delivery_attempt = 1", "parsed")
+STREAM_LANDING = with_ctes(f"SELECT {STREAM_COLS} FROM landing", "landing")
+STREAM_DEAD = with_ctes(f"SELECT {STREAM_COLS}, 'Failed data quality checks' AS reason FROM parsed "
+                        f"WHERE NOT {VALID} AND delivery_attempt = 1", "parsed")
+DLQ_ENVELOPE = with_ctes("SELECT CAST(0 AS BIGINT) AS batch_id, 'Failed data quality checks' AS reason, "
+                         f"count(*) AS record_count FROM parsed WHERE NOT {VALID} AND delivery_attempt = 1",
+                         "parsed")
+REALTIME_NO_PT = with_ctes(
+    f"SELECT {STREAM_COLS}, CAST(event_time AS DATE) AS order_date, "
+    "date_trunc('hour', event_time) AS order_hour FROM landing WHERE order_id IS NOT NULL", "landing")
+
+STAGE_ROW_COUNTS = with_ctes(
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS dataset, '{stage}' AS stage, count(*) AS row_count FROM {cte}"
+        for n in ("orders", "customers", "products", "order_items")
+        for stage, cte in (("landed", f"raw_{n}"), ("cleaned", f"clean_{n}"))),
+    "clean_orders", "clean_customers", "clean_products", "clean_order_items")
