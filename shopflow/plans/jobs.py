@@ -8,6 +8,7 @@ step, and each layer is a restart point.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,17 +48,27 @@ def default_warehouse(spark: SparkSession) -> Warehouse:
     return Warehouse(work_dir(spark, "warehouse"))
 
 
+def concurrently(tasks: list, max_workers: int = 4) -> list:
+    """Run independent Spark actions as concurrent jobs (the scheduler
+    interleaves their tasks, so a narrow stage of one table does not leave
+    the rest of the cluster idle)."""
+    if len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:
+        return [f.result() for f in [pool.submit(t) for t in tasks]]
+
+
 def run_batch(spark: SparkSession, sources: dict[str, DataFrame], wh: Warehouse) -> list[dict]:
-    """Clean the four sources and load each into all of its targets.
-    Row counts come from observations made during the writes."""
-    report = []
-    for table, fn in CLEANERS.items():
-        cleaned = fn(sources[table])
+    """Clean the four sources and load each into all of its targets (the
+    four loads run as concurrent jobs).  Row counts come from observations
+    made during the writes."""
+    def load(table):
+        cleaned = CLEANERS[table](sources[table])
         targets = wh.raw_targets(table)
         loads = (sinks.write_all(cleaned, targets) if len(targets) > 1
                  else [sinks.write_table(cleaned, targets[0])])
-        report.extend({"table": table, **r} for r in loads)
-    return report
+        return [{"table": table, **r} for r in loads]
+    return [r for rs in concurrently([lambda t=t: load(t) for t in CLEANERS]) for r in rs]
 
 
 def loaded_tables(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
@@ -72,13 +83,14 @@ def run_models(spark: SparkSession, wh: Warehouse, landing: DataFrame | None = N
     for name in STAGING_MODELS:
         built[name].createOrReplaceTempView(name)
         out[name] = built[name]
-    for name in MART_MODELS:
-        if name not in built:
-            continue
+    marts = [n for n in MART_MODELS if n in built]
+
+    def write(name):
         t = wh.target(f"{model_schema(name)}.{name}",
                       partition_by=("order_date",) if name == "fact_orders_realtime" else ())
         sinks.write_table(built[name], t, "overwrite")
-        out[name] = sinks.read_table(spark, t)
+        return name, sinks.read_table(spark, t)
+    out.update(dict(concurrently([lambda n=n: write(n) for n in marts])))
     return out
 
 
