@@ -8,6 +8,7 @@ extra counting job).
 
 from __future__ import annotations
 
+import os
 import uuid
 from dataclasses import dataclass, field, replace
 
@@ -120,7 +121,10 @@ def exists(spark: SparkSession, target: Target) -> bool:
         return spark.catalog.tableExists(target.location)
     if target.format in ("jdbc", "bigquery"):
         return True
-    try:
+    loc = target.location
+    if loc.startswith("file:") or "://" not in loc:
+        return os.path.exists(loc[len("file:"):] if loc.startswith("file:") else loc)
+    try:  # remote file system: resolving the relation lists the folder
         read_table(spark, target).schema
         return True
     except AnalysisException:

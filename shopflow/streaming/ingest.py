@@ -13,6 +13,7 @@ idempotent per batch id, so a replayed micro-batch leaves the same contents.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -147,12 +148,21 @@ def process_batch(batch: DataFrame, batch_id: int, targets: IngestSinks,
         cached.unpersist()
 
 
+STATE_STORES = {
+    "rocksdb": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def start_ingest(messages: DataFrame, targets: IngestSinks, checkpoint: str,
                  trigger: dict | None = None, delay: str = WATERMARK_DELAY,
-                 query_name: str = QUERY_NAME) -> StreamingQuery:
+                 query_name: str = QUERY_NAME, state_store: str | None = None) -> StreamingQuery:
     """Start the ingest.  ``trigger`` defaults to a 30 s processing-time
-    trigger; tests pass ``{"availableNow": True}``."""
+    trigger; tests pass ``{"availableNow": True}``.  ``state_store="rocksdb"``
+    keeps dedup state off the JVM heap (large key sets); like the number of
+    state partitions it is fixed by the checkpoint's first start."""
     spark = messages.sparkSession
+    if state_store is not None:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORES[state_store])
     sinks.ensure_exists(spark, targets.landing)
     sinks.ensure_exists(spark, targets.dead_letter)
     plan = deduplicated(parsed_stream(messages), delay)
@@ -167,10 +177,11 @@ def start_ingest(messages: DataFrame, targets: IngestSinks, checkpoint: str,
 
 
 def run_available(messages: DataFrame, targets: IngestSinks, checkpoint: str,
-                  delay: str = WATERMARK_DELAY) -> StreamingQuery:
+                  delay: str = WATERMARK_DELAY, state_store: str | None = None) -> StreamingQuery:
     """Process everything currently available, then stop (tests, backfills)."""
     q = start_ingest(messages, targets, checkpoint, {"availableNow": True}, delay,
-                     query_name=f"{QUERY_NAME}_available")
+                     query_name=f"{QUERY_NAME}_available_{uuid.uuid4().hex[:8]}",
+                     state_store=state_store)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

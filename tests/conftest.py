@@ -12,7 +12,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from shopflow.session import build_session
-    s = build_session(master="local[*]", shuffle_partitions=8, app="shopflow-tests")
+    s = build_session(master="local[*]", shuffle_partitions=8, app="shopflow-tests",
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="shopflow-test-wh-")})
     # tests own their checkpoint folder; a cluster names a shared one instead
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shopflow-test-ckpt-"))

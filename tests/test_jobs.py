@@ -53,3 +53,15 @@ def test_schema_routing():
     assert schema_name(None, "analytics") == "analytics"
     assert schema_name(" staging ", "analytics") == "staging"
     assert qualified("fact_orders") == "analytics.fact_orders"
+
+
+def test_namespaces_and_catalog_tables(spark, seed):
+    from shopflow.operators.clean import clean_products
+    from shopflow.tables import NAMESPACES, create_namespaces
+    create_namespaces(spark)
+    names = {d.name for d in spark.catalog.listDatabases()}
+    assert set(NAMESPACES) <= names
+    t = sinks.catalog_target("products", "raw.products")
+    sinks.write_table(clean_products(seed["products"]), t, "overwrite")
+    sinks.write_table(clean_products(seed["products"]), t, "overwrite")
+    assert sinks.exists(spark, t) and sinks.read_table(spark, t).count() == 3

@@ -121,3 +121,22 @@ def test_stream_and_batch_agree(spark, tmp):
                    .select("order_id", "amount", "total_value", "event_time").collect())
     assert [r[0] for r in streamed] == ["a", "b", "btg"]
     assert streamed[:2] == batch[:2]
+
+
+def test_rocksdb_state_store(spark, tmp):
+    src = f"{tmp}/src"
+    _write_batches(src, BATCHES[:2])
+    targets = ING.ingest_sinks(f"{tmp}/out")
+    prev = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    try:
+        ING.run_available(ING.json_file_source(spark, src, max_files_per_trigger=1), targets,
+                          f"{tmp}/out/_checkpoint", state_store="rocksdb")
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", prev)
+    assert sorted(r.order_id for r in sinks.read_table(spark, targets.landing).collect()) == ["a", "b", "btg"]
+
+
+def test_kafka_options():
+    o = ING.kafka_options("broker:9092", "orders_stream", max_offsets_per_trigger=1000)
+    assert o == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "orders_stream",
+                 "startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "1000"}
