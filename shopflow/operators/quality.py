@@ -388,6 +388,26 @@ def orphan_items(items: DataFrame, orders: DataFrame) -> DataFrame:
                  .select("order_id", "order_item_id", "product_id"))
 
 
+def _failure_count(relations: dict[str, DataFrame], t: ModelTest) -> DataFrame:
+    """One-row frame ``f`` = number of failing rows of ``t``.
+
+    Key-based tests count per key value first (partial aggregation on the
+    map side), so a value carried by a third of the child rows travels the
+    shuffle as a single (value, count) pair; the anti-join then runs on
+    distinct values only and the failing rows are the sum of their counts.
+    """
+    if t.test in ("relationships", "no_orphan_items"):
+        df = relations[t.relation]
+        key = t.column if t.test == "relationships" else "order_id"
+        field_ = t.args.get("field", "order_id")
+        child = (df.filter(F.col(key).isNotNull()) if t.test == "relationships" else df)
+        per_key = child.groupBy(F.col(key).alias("k__")).agg(F.count(F.lit(1)).alias("n__"))
+        parent = relations[t.args["to"]].select(F.col(field_).alias("k__")).distinct()
+        missing = per_key.join(parent, "k__", "left_anti")
+        return missing.agg(F.coalesce(F.sum("n__"), F.lit(0)).alias("f"))
+    return violations(relations, t).agg(F.count(F.lit(1)).alias("f"))
+
+
 def _result(t: ModelTest, failures: Column) -> Column:
     return F.struct(F.lit(t.relation).alias("relation"), F.lit(t.test).alias("test_name"),
                     F.lit(t.column).cast("string").alias("column_name"),
@@ -411,9 +431,8 @@ def run_model_tests(relations: dict[str, DataFrame], tests: list[ModelTest] = MO
                 aggs.append(F.count_if(pred).alias(f"f{i}"))
                 rows.append(_result(t, F.col(f"f{i}")))
             else:
-                v = violations(relations, t)
-                parts.append(v.agg(F.count(F.lit(1)).alias("f")).select(_result(t, F.col("f")).alias("r"))
-                              .select("r.*"))
+                parts.append(_failure_count(relations, t).select(_result(t, F.col("f")).alias("r"))
+                                                         .select("r.*"))
         if aggs:
             parts.append(df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
     return reduce(DataFrame.unionByName, parts)
