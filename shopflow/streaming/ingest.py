@@ -155,12 +155,16 @@ STATE_STORES = {
 
 def start_ingest(messages: DataFrame, targets: IngestSinks, checkpoint: str,
                  trigger: dict | None = None, delay: str = WATERMARK_DELAY,
-                 query_name: str = QUERY_NAME, state_store: str | None = None) -> StreamingQuery:
+                 query_name: str = QUERY_NAME, state_store: str | None = None,
+                 state_partitions: int | None = None) -> StreamingQuery:
     """Start the ingest.  ``trigger`` defaults to a 30 s processing-time
     trigger; tests pass ``{"availableNow": True}``.  ``state_store="rocksdb"``
     keeps dedup state off the JVM heap (large key sets); like the number of
-    state partitions it is fixed by the checkpoint's first start."""
+    state partitions (``state_partitions``: size it so each partition's key
+    set fits one task) it is fixed by the checkpoint's first start."""
     spark = messages.sparkSession
+    if state_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     if state_store is not None:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORES[state_store])
     sinks.ensure_exists(spark, targets.landing)
