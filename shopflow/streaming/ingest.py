@@ -14,6 +14,7 @@ idempotent per batch id, so a replayed micro-batch leaves the same contents.
 from __future__ import annotations
 
 import uuid
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,8 @@ from shopflow.sources import sinks
 from shopflow.sources.feeds import order_messages
 from shopflow.streaming.transform import dedup_key, parse_orders, split_valid, to_landing
 
+log = logging.getLogger("shopflow.ingest")
+
 WATERMARK_DELAY = "10 minutes"
 TRIGGER_INTERVAL = "30 seconds"
 QUERY_NAME = "orders_stream_ingest"
@@ -136,6 +139,7 @@ def process_batch(batch: DataFrame, batch_id: int, targets: IngestSinks,
     cached = batch.persist()
     try:
         if cached.isEmpty():
+            log.info("batch %d: empty, skipped", batch_id)
             return {"batch_id": batch_id, "empty": True}
         valid, invalid = split_valid(cached)
         bad = invalid.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
@@ -143,6 +147,7 @@ def process_batch(batch: DataFrame, batch_id: int, targets: IngestSinks,
                                         batch_id, reason)
         landed = sinks.append_if_absent(spark, landing_rows(valid), targets.landing, ["order_id"],
                                         prune_by="order_date", target_exists=True)
+        log.info("batch %d: %d landed, %d dead-lettered", batch_id, landed["rows"], dead["rows"])
         return {"batch_id": batch_id, "landed": landed["rows"], "dead_letters": dead["rows"]}
     finally:
         cached.unpersist()
