@@ -197,21 +197,35 @@ from shopflow.session import work_dir  # noqa: E402
 from shopflow.sources import sinks  # noqa: E402
 from shopflow.tables import STREAM_TABLE  # noqa: E402
 
-def relations(spark, sf_dir) -> dict:
-    """Every tested relation, named as in the test catalogue, built the way
-    the daily job builds them: each layer is written once to a warehouse
-    under the checkpoint root and read back, so the tests of all relations
-    share one computation of cleaning, landing and marts (and lineage is cut
-    at each layer)."""
+def relations(spark, sf_dir, tests=None) -> dict:
+    """The relations the given tests read (default: the whole catalogue),
+    named as in the test catalogue and built the way the daily job builds
+    them: each layer is written once to a warehouse under the checkpoint
+    root and read back, so the tests of all relations share one computation
+    of cleaning, landing and marts (and lineage is cut at each layer)."""
     from shopflow.plans import jobs
+    tests = Q.MODEL_TESTS if tests is None else tests
+    names = {t.relation for t in tests} | {t.args["to"] for t in tests if "to" in t.args}
+    raw_tables = {n.split(".", 1)[1] for n in names if n.startswith("raw.")}
+    models_ = {n for n in names if "." not in n}
+    raw_tables |= {t for m in models_ for t in jobs.MODEL_SOURCES[m]}
+    need_landing = bool(names & {STREAM_TABLE, "fact_orders_realtime"})
+
     wh = jobs.Warehouse(work_dir(spark, "tested_warehouse"))
     land_t = wh.target(STREAM_TABLE)
-    jobs.concurrently([lambda: jobs.run_batch(spark, feeds.raw_feeds(spark, sf_dir), wh),
-                        lambda: sinks.write_table(landing(spark, sf_dir), land_t, "overwrite")])
-    land = sinks.read_table(spark, land_t)
-    rel = {f"raw.{k}": v for k, v in jobs.loaded_tables(spark, wh).items()}
-    rel["streaming.raw_orders_stream"] = land
-    rel.update(jobs.run_models(spark, wh, land))
+    tasks = []
+    if raw_tables:
+        feeds_ = {t: feeds.RAW_FEEDS[t](spark, sf_dir) for t in raw_tables}
+        tasks.append(lambda: jobs.run_batch(spark, feeds_, wh, tables=sorted(raw_tables)))
+    if need_landing:
+        tasks.append(lambda: sinks.write_table(landing(spark, sf_dir), land_t, "overwrite"))
+    jobs.concurrently(tasks)
+    land = sinks.read_table(spark, land_t) if need_landing else None
+    rel = {f"raw.{k}": v for k, v in jobs.loaded_tables(spark, wh, sorted(raw_tables)).items()}
+    if land is not None:
+        rel[STREAM_TABLE] = land
+    if models_:
+        rel.update(jobs.run_models(spark, wh, land, only=models_))
     return rel
 
 
@@ -221,7 +235,7 @@ def _tests(kind: str):
 
 def _test_query(kind: str):
     def q(spark, sf_dir):
-        return Q.run_model_tests(relations(spark, sf_dir), _tests(kind))
+        return Q.run_model_tests(relations(spark, sf_dir, _tests(kind)), _tests(kind))
     return q
 
 

@@ -58,31 +58,44 @@ def concurrently(tasks: list, max_workers: int = 4) -> list:
         return [f.result() for f in [pool.submit(t) for t in tasks]]
 
 
-def run_batch(spark: SparkSession, sources: dict[str, DataFrame], wh: Warehouse) -> list[dict]:
-    """Clean the four sources and load each into all of its targets (the
-    four loads run as concurrent jobs).  Row counts come from observations
-    made during the writes."""
+def run_batch(spark: SparkSession, sources: dict[str, DataFrame], wh: Warehouse,
+              tables=tuple(CLEANERS)) -> list[dict]:
+    """Clean the sources and load each into all of its targets (the loads
+    run as concurrent jobs).  Row counts come from observations made during
+    the writes."""
     def load(table):
         cleaned = CLEANERS[table](sources[table])
         targets = wh.raw_targets(table)
         loads = (sinks.write_all(cleaned, targets) if len(targets) > 1
                  else [sinks.write_table(cleaned, targets[0])])
         return [{"table": table, **r} for r in loads]
-    return [r for rs in concurrently([lambda t=t: load(t) for t in CLEANERS]) for r in rs]
+    return [r for rs in concurrently([lambda t=t: load(t) for t in tables]) for r in rs]
 
 
-def loaded_tables(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
-    return {t: sinks.read_table(spark, wh.target(q)) for t, q in RAW_TABLES.items()}
+def loaded_tables(spark: SparkSession, wh: Warehouse, tables=tuple(RAW_TABLES)) -> dict[str, DataFrame]:
+    return {t: sinks.read_table(spark, wh.target(RAW_TABLES[t])) for t in tables}
 
 
-def run_models(spark: SparkSession, wh: Warehouse, landing: DataFrame | None = None) -> dict[str, DataFrame]:
+# raw tables each model reads (the landing table feeds the realtime mart)
+MODEL_SOURCES = {
+    "stg_orders": ("orders",), "stg_customers": ("customers",), "stg_products": ("products",),
+    "stg_order_items": ("order_items",), "fact_orders": ("orders", "order_items"),
+    "dim_customers": ("customers",), "dim_products": ("products",), "fact_orders_realtime": (),
+}
+
+
+def run_models(spark: SparkSession, wh: Warehouse, landing: DataFrame | None = None,
+               only=None) -> dict[str, DataFrame]:
     """Staging models become temp views, marts are written as tables (full
-    refresh) and read back; returns every model by name."""
-    built = M.build_models(loaded_tables(spark, wh), landing)
+    refresh) and read back; returns the models by name (``only``: a subset)."""
+    wanted = [m for m in (*STAGING_MODELS, *MART_MODELS) if only is None or m in only]
+    tables = sorted({t for m in wanted for t in MODEL_SOURCES[m]})
+    built = M.build_models(loaded_tables(spark, wh, tables), landing, wanted)
     out: dict[str, DataFrame] = {}
     for name in STAGING_MODELS:
-        built[name].createOrReplaceTempView(name)
-        out[name] = built[name]
+        if name in built:
+            built[name].createOrReplaceTempView(name)
+            out[name] = built[name]
     marts = [n for n in MART_MODELS if n in built]
 
     def write(name):

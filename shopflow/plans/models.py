@@ -87,12 +87,31 @@ STAGING = {
 }
 
 
-def build_models(raw: dict[str, DataFrame], landing: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All models from the four raw (loaded) tables and the landing table."""
-    m = {name: fn(raw[src]) for name, (fn, (src,)) in STAGING.items()}
-    m["fact_orders"] = fact_orders(m["stg_orders"], m["stg_order_items"])
-    m["dim_customers"] = dim_customers(m["stg_customers"])
-    m["dim_products"] = dim_products(m["stg_products"])
-    if landing is not None:
+def build_models(raw: dict[str, DataFrame], landing: DataFrame | None = None,
+                 only=None) -> dict[str, DataFrame]:
+    """Models from the raw (loaded) tables and the landing table; ``only``
+    names a subset (their upstream staging models are built as needed)."""
+    want = set(only) if only is not None else None
+
+    def wanted(*names):
+        return want is None or any(n in want for n in names)
+
+    m = {name: fn(raw[src]) for name, (fn, (src,)) in STAGING.items()
+         if src in raw and wanted(name, *DOWNSTREAM.get(name, ()))}
+    if wanted("fact_orders"):
+        m["fact_orders"] = fact_orders(m["stg_orders"], m["stg_order_items"])
+    if wanted("dim_customers"):
+        m["dim_customers"] = dim_customers(m["stg_customers"])
+    if wanted("dim_products"):
+        m["dim_products"] = dim_products(m["stg_products"])
+    if landing is not None and wanted("fact_orders_realtime"):
         m["fact_orders_realtime"] = fact_orders_realtime(landing)
+    if want is not None:
+        m = {k: v for k, v in m.items() if k in want}
     return m
+
+
+DOWNSTREAM = {
+    "stg_orders": ("fact_orders",), "stg_order_items": ("fact_orders",),
+    "stg_customers": ("dim_customers",), "stg_products": ("dim_products",),
+}
