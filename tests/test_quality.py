@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from shopflow.operators import quality as Q
 from shopflow.operators.clean import CLEANERS
@@ -10,10 +9,6 @@ from shopflow.plans import models as M
 E = Q.E
 
 
-def _one(results, idx):
-    return [r for r in results.collect() if r.check_index == idx][0]
-
-
 def test_each_expectation_counts_one_violation(spark):
     # one violating row + one NULL row per check; NULL counts only for not_null
     df = spark.createDataFrame(
