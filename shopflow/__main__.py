@@ -25,8 +25,8 @@ def _session(app: str) -> SparkSession:
 def cmd_daily(args) -> int:
     from shopflow.operators import quality as Q
     from shopflow.plans import jobs
-    from shopflow.sources import files
-    from shopflow.tables import SourcePaths
+    from shopflow.sources import files, sinks
+    from shopflow.tables import RAW_TABLES, SourcePaths
 
     spark = _session("shopflow-daily")
     root = args.sources.rstrip("/")
@@ -34,9 +34,18 @@ def cmd_daily(args) -> int:
                                             ("orders", "customers", "products", "order_items")})
     suites = ({n: Q.load_suite(f"{args.suites.rstrip('/')}/{n}_suite.json") for n in Q.SUITES}
               if args.suites else Q.SUITES)
+    extra: dict = {}
+    for table, name in RAW_TABLES.items():
+        if args.jdbc_url:
+            extra.setdefault(table, []).append(sinks.jdbc_target(
+                table, args.jdbc_url, name, user=args.jdbc_user, password=args.jdbc_password,
+                driver=args.jdbc_driver, num_partitions=args.jdbc_partitions))
+        if args.bigquery_project:
+            extra.setdefault(table, []).append(sinks.bigquery_target(
+                table, args.bigquery_project, args.bigquery_dataset, name.split(".", 1)[1]))
     try:
         report = jobs.run_daily(spark, files.read_sources(spark, paths),
-                                jobs.Warehouse(args.warehouse), suites=suites)
+                                jobs.Warehouse(args.warehouse, extra), suites=suites)
     except (Q.QualityGateError, jobs.ModelTestError) as e:
         logging.error("%s", e)
         return 1
@@ -52,7 +61,7 @@ def cmd_stream(args) -> int:
         messages = ING.kafka_source(spark, args.kafka, args.topic)
     else:
         messages = ING.json_file_source(spark, args.files)
-    targets = ING.ingest_sinks(args.output)
+    targets = ING.ingest_sinks(args.output, key_check=args.key_check)
     trigger = {"availableNow": True} if args.available_now else None
     q = ING.start_ingest(messages, targets, args.checkpoint, trigger,
                          state_store=args.state_store, state_partitions=args.state_partitions)
@@ -69,6 +78,13 @@ def main(argv=None) -> int:
     d.add_argument("--format", default="csv", choices=["csv", "parquet"])
     d.add_argument("--warehouse", required=True, help="output root (<schema>/<table> folders)")
     d.add_argument("--suites", help="folder with <dataset>_suite.json files (default: built-in suites)")
+    d.add_argument("--jdbc-url", help="also load the raw tables into this database (truncate + insert)")
+    d.add_argument("--jdbc-user")
+    d.add_argument("--jdbc-password")
+    d.add_argument("--jdbc-driver")
+    d.add_argument("--jdbc-partitions", type=int, help="max concurrent connections per table")
+    d.add_argument("--bigquery-project", help="also load the raw tables into BigQuery")
+    d.add_argument("--bigquery-dataset", default="raw")
     d.set_defaults(fn=cmd_daily)
     s = sub.add_parser("stream", help="order-event ingest")
     src = s.add_mutually_exclusive_group(required=True)
@@ -80,6 +96,8 @@ def main(argv=None) -> int:
     s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     s.add_argument("--state-store", choices=["rocksdb"])
     s.add_argument("--state-partitions", type=int)
+    s.add_argument("--key-check", default="pruned", choices=["pruned", "full"],
+                   help="landing key check: event-date partitions of the batch, or every key")
     s.set_defaults(fn=cmd_stream)
     args = p.parse_args(argv)
     return args.fn(args)

@@ -32,3 +32,18 @@ def test_stream_cli(spark, tmp):
                  "--checkpoint", f"{tmp}/ck", "--available-now"]) == 0
     landed = spark.read.parquet(f"{tmp}/out/raw_orders_stream")
     assert sorted(r.order_id for r in landed.collect()) == ["a", "b", "btg"]
+
+
+def test_daily_cli_with_jdbc_copy(spark, seed, tmp):
+    _csv_sources(seed, f"{tmp}/src")
+    for n, suite in RELAXED.items():
+        with open(f"{tmp}/{n}_suite.json", "w") as f:
+            json.dump({"expectations": [{"expectation_type": e.expectation_type, "kwargs": e.kwargs}
+                                        for e in suite]}, f)
+    spark.sql("SELECT 1")  # session is shared with the CLI
+    url = "jdbc:derby:memory:shopflow_cli;create=true"
+    rc = main(["daily", "--sources", f"{tmp}/src", "--warehouse", f"{tmp}/wh", "--suites", tmp,
+               "--jdbc-url", url, "--jdbc-driver", "org.apache.derby.iapi.jdbc.AutoloadedDriver"])
+    assert rc == 0
+    t = sinks.jdbc_target("orders", url, "raw.orders", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    assert sinks.read_table(spark, t).count() == 3

@@ -140,3 +140,18 @@ def test_kafka_options():
     o = ING.kafka_options("broker:9092", "orders_stream", max_offsets_per_trigger=1000)
     assert o == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "orders_stream",
                  "startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "1000"}
+
+
+def test_key_check_modes(spark, tmp):
+    """An order id reused by a different event on another date: the pruned
+    check lands it again (the landing table's unique test reports it); the
+    full check does not."""
+    msgs = [[_msg("r", "00:00:00")], [_msg("r", "00:00:00").replace("2024-01-01", "2024-01-03")]]
+    for mode, expected in (("pruned", 2), ("full", 1)):
+        targets = ING.ingest_sinks(f"{tmp}/{mode}", key_check=mode)
+        sinks.ensure_exists(spark, targets.landing)
+        sinks.ensure_exists(spark, targets.dead_letter)
+        for i, batch in enumerate(msgs):
+            df = spark.createDataFrame([(m.encode(),) for m in batch], "value binary")
+            ING.process_batch(ST.parse_orders(df), i, targets)
+        assert sinks.read_table(spark, targets.landing).count() == expected, mode
