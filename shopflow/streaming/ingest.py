@@ -209,3 +209,11 @@ def run_available(messages: DataFrame, targets: IngestSinks, checkpoint: str,
     if q.exception() is not None:
         raise q.exception()
     return q
+
+
+def dropped_by_watermark(query: StreamingQuery) -> int:
+    """Rows dropped as late by the dedup (those older than the watermark),
+    summed over the query's recent progress reports.  Late rows are not
+    dead-lettered: they are counted here."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for p in query.recentProgress for op in p.get("stateOperators", []))

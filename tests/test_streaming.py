@@ -57,9 +57,7 @@ def test_multi_batch_ingest(spark, tmp):
     assert [r for r in raws if r.startswith("garbage")] == ["garbage1", "garbage2", "garbage3"]
     assert any('"amount": -1' in r for r in raws)                       # bad_then_good's bad copy
     assert dead.select("reason").distinct().first().reason == ING.REJECT_REASON
-    dropped = sum(sum(s.get("numRowsDroppedByWatermark", 0) for s in p.get("stateOperators", []))
-                  for p in q.recentProgress)
-    assert dropped == 1                                                 # late2
+    assert ING.dropped_by_watermark(q) == 1                             # late2
 
 
 def test_restart_does_not_reemit(spark, tmp):
