@@ -192,13 +192,9 @@ def write_dead_letters(bad: DataFrame, target: Target, batch_id: int, reason: st
                .withColumn("captured_at", F.current_timestamp())
                .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")))
     t = target if target.partition_by else replace(target, partition_by=("batch_id",))
-    spark = bad.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        return write_table(rows, t, "overwrite")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    # per-write option: other (full-refresh) overwrites keep static semantics
+    t = replace(t, options={**t.options, "partitionOverwriteMode": "dynamic"})
+    return write_table(rows, t, "overwrite")
 
 
 def dead_letter_envelopes(dead: DataFrame) -> DataFrame:

@@ -75,3 +75,10 @@ def test_bigquery_and_jdbc_options():
 def test_observed_counts_need_no_extra_job(spark, tmp):
     t = sinks.file_target("t", f"{tmp}/obs")
     assert sinks.write_table(spark.range(3).withColumn("x", F.lit(1)), t)["rows"] == 3
+
+
+def test_full_refresh_overwrite_drops_stale_partitions(spark, tmp):
+    t = sinks.file_target("t", f"{tmp}/fr", partition_by=("d",))
+    sinks.write_table(spark.createDataFrame([("a", 1), ("b", 2)], "k string, d int"), t)
+    sinks.write_table(spark.createDataFrame([("c", 2)], "k string, d int"), t)
+    assert [tuple(r) for r in sinks.read_table(spark, t).collect()] == [("c", 2)]
