@@ -54,14 +54,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder is created and registered, so ``DataFrame.checkpoint()`` and
     every table written by shopflow land in the same place.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="shopflow-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root
 
 
