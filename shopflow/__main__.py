@@ -90,7 +90,7 @@ def main(argv=None) -> int:
     src = s.add_mutually_exclusive_group(required=True)
     src.add_argument("--kafka", help="bootstrap servers")
     src.add_argument("--files", help="folder of JSON-lines files")
-    s.add_argument("--topic", default="orders_stream")
+    s.add_argument("--topic", default="orders_stream")  # = ingest.DEFAULT_TOPIC
     s.add_argument("--output", required=True, help="root of the landing and dead-letter tables")
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--available-now", action="store_true", help="process what is there, then stop")

@@ -28,10 +28,14 @@ from shopflow.streaming.transform import dedup_key, parse_orders, split_valid, t
 
 log = logging.getLogger("shopflow.ingest")
 
+# Watermark delay, trigger interval, default topic and the
+# rejection reason recorded with every dead letter.
 WATERMARK_DELAY = "10 minutes"
 TRIGGER_INTERVAL = "30 seconds"
-QUERY_NAME = "orders_stream_ingest"
+DEFAULT_TOPIC = "orders_stream"
 REJECT_REASON = "Failed data quality checks"
+
+QUERY_NAME = "orders_stream_ingest"
 DEAD_LETTER_COLUMNS = ["raw_value", "order_id", "customer_id", "product_id", "amount", "quantity",
                        "total_value", "event_time"]
 
