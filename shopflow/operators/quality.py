@@ -382,10 +382,21 @@ def violations(relations: dict[str, DataFrame], t: ModelTest) -> DataFrame:
 
 
 def orphan_items(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Items whose order is missing, as a left-anti join (Catalyst does not
-    rewrite a left join + IS NULL filter into one)."""
-    return (items.join(orders.select("order_id"), "order_id", "left_anti")
-                 .select("order_id", "order_item_id", "product_id"))
+    """Items whose order is missing (a left join + IS NULL filter, written
+    as anti/semi joins, which Catalyst does not derive by itself).
+
+    The missing order ids are found from the *distinct* item keys (a hot
+    order collapses to one key on the map side); the item rows are then
+    fetched with a semi-join against that usually small key set, which the
+    planner broadcasts when its measured size allows, so the item table is
+    not shuffled on a possibly hot key.  Items without an order id are
+    orphans too.
+    """
+    keys = items.select("order_id").filter(F.col("order_id").isNotNull()).distinct()
+    missing = keys.join(orders.select("order_id"), "order_id", "left_anti")
+    cols = ["order_id", "order_item_id", "product_id"]
+    return (items.join(missing, "order_id", "left_semi").select(*cols)
+                 .unionByName(items.filter(F.col("order_id").isNull()).select(*cols)))
 
 
 def _failure_count(relations: dict[str, DataFrame], t: ModelTest) -> DataFrame:
