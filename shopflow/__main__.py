@@ -29,6 +29,9 @@ def cmd_daily(args) -> int:
     from shopflow.tables import RAW_TABLES, SourcePaths
 
     spark = _session("shopflow-daily")
+    if args.shuffle_bytes:
+        from shopflow.session import size_shuffles
+        size_shuffles(spark, args.shuffle_bytes)
     root = args.sources.rstrip("/")
     paths = SourcePaths(fmt=args.format, **{n: f"{root}/{n}" for n in
                                             ("orders", "customers", "products", "order_items")})
@@ -85,6 +88,8 @@ def main(argv=None) -> int:
     d.add_argument("--jdbc-partitions", type=int, help="max concurrent connections per table")
     d.add_argument("--bigquery-project", help="also load the raw tables into BigQuery")
     d.add_argument("--bigquery-dataset", default="raw")
+    d.add_argument("--shuffle-bytes", type=int,
+                   help="expected shuffle volume; sizes the initial shuffle partitions (~128 MB each)")
     d.set_defaults(fn=cmd_daily)
     s = sub.add_parser("stream", help="order-event ingest")
     src = s.add_mutually_exclusive_group(required=True)

@@ -73,3 +73,20 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint root for one run of ``name``."""
     path = os.path.join(checkpoint_root(spark), "shopflow", f"{name}-{uuid.uuid4().hex[:12]}")
     return path
+
+
+def size_shuffles(spark: SparkSession, shuffle_bytes: int, target_bytes: int = 128 * 1024 * 1024,
+                  min_partitions: int = 200, max_partitions: int = 200_000) -> int:
+    """Start shuffles with enough partitions for ``shuffle_bytes`` of data at
+    about ``target_bytes`` each, and let AQE coalesce the small ones.
+
+    AQE can merge partitions after a stage but cannot split an oversized one
+    outside a join, so the initial count must follow the data volume (at
+    100 TB of shuffle input that is tens of thousands of partitions).  Set
+    it before a batch job; a streaming query keeps the count its checkpoint
+    was started with.
+    """
+    n = max(min_partitions, min(max_partitions, -(-int(shuffle_bytes) // int(target_bytes))))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(int(target_bytes)))
+    return n

@@ -65,3 +65,15 @@ def test_namespaces_and_catalog_tables(spark, seed):
     sinks.write_table(clean_products(seed["products"]), t, "overwrite")
     sinks.write_table(clean_products(seed["products"]), t, "overwrite")
     assert sinks.exists(spark, t) and sinks.read_table(spark, t).count() == 3
+
+
+def test_size_shuffles(spark):
+    from shopflow.session import size_shuffles
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 100 * 1024 ** 4) == 200_000      # capped
+        assert size_shuffles(spark, 10 * 1024 ** 4) == 81920
+        assert size_shuffles(spark, 1024) == 200
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
