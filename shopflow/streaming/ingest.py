@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from shopflow.operators.clean import dedup_keep_first
 from shopflow.sources import sinks
 from shopflow.sources.feeds import order_messages
 from shopflow.streaming.transform import dedup_key, parse_orders, split_valid, to_landing
@@ -89,10 +90,13 @@ def deduplicated(parsed: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
     Rows later than the watermark are dropped and counted in the query's
     ``numRowsDroppedByWatermark`` metric.
     """
-    return (parsed.withColumn("dedup_key", dedup_key())
-                  .withWatermark("event_time", delay)
-                  .dropDuplicatesWithinWatermark(["dedup_key"])
-                  .drop("dedup_key"))
+    keyed = parsed.withColumn("dedup_key", dedup_key())
+    if not parsed.isStreaming:   # batch form (backfills, tests): first row per key
+        return dedup_keep_first(keyed, ["dedup_key"],
+                                order_by=["event_time", "raw_value"]).drop("dedup_key")
+    return (keyed.withWatermark("event_time", delay)
+                 .dropDuplicatesWithinWatermark(["dedup_key"])
+                 .drop("dedup_key"))
 
 
 @dataclass(frozen=True)
@@ -148,6 +152,8 @@ def process_batch(batch: DataFrame, batch_id: int, targets: IngestSinks,
                   reason: str = REJECT_REASON) -> dict:
     """One micro-batch: split, land valid rows, dead-letter the rest.
 
+    ``batch`` is the output of :func:`deduplicated` (one row per state key).
+
     The batch is persisted once so the stateful plan above it runs once per
     trigger (not once per action); any failure propagates and stops the
     query, whose checkpoint then replays this batch id.
@@ -163,8 +169,10 @@ def process_batch(batch: DataFrame, batch_id: int, targets: IngestSinks,
         dead = sinks.write_dead_letters(bad.select(*DEAD_LETTER_COLUMNS), targets.dead_letter,
                                         batch_id, reason)
         prune = "order_date" if targets.key_check == "pruned" else None
+        # valid rows arrive unique per order id (stream dedup), so no second
+        # in-batch dedup: just the anti-join against already landed keys
         landed = sinks.append_if_absent(spark, landing_rows(valid), targets.landing, ["order_id"],
-                                        prune_by=prune, target_exists=True)
+                                        prune_by=prune, dedup=False, target_exists=True)
         log.info("batch %d: %d landed, %d dead-lettered", batch_id, landed["rows"], dead["rows"])
         return {"batch_id": batch_id, "landed": landed["rows"], "dead_letters": dead["rows"]}
     finally:

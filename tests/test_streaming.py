@@ -79,7 +79,7 @@ def test_replayed_batch_leaves_same_contents(spark, tmp):
     sinks.ensure_exists(spark, targets.landing)
     sinks.ensure_exists(spark, targets.dead_letter)
     msgs = spark.createDataFrame([(m.encode(),) for m in BATCHES[0]], "value binary")
-    batch = ST.parse_orders(msgs)
+    batch = ING.deduplicated(ST.parse_orders(msgs))     # as the stream hands it over
     for _ in range(2):
         ING.process_batch(batch, 7, targets)
     assert sinks.read_table(spark, targets.landing).count() == 1        # 'a' (in-batch dup collapsed)
@@ -151,5 +151,5 @@ def test_key_check_modes(spark, tmp):
         sinks.ensure_exists(spark, targets.dead_letter)
         for i, batch in enumerate(msgs):
             df = spark.createDataFrame([(m.encode(),) for m in batch], "value binary")
-            ING.process_batch(ST.parse_orders(df), i, targets)
+            ING.process_batch(ING.deduplicated(ST.parse_orders(df)), i, targets)
         assert sinks.read_table(spark, targets.landing).count() == expected, mode
