@@ -47,7 +47,7 @@ def cmd_daily(args) -> int:
             extra.setdefault(table, []).append(sinks.bigquery_target(
                 table, args.bigquery_project, args.bigquery_dataset, name.split(".", 1)[1]))
     try:
-        report = jobs.run_daily(spark, files.read_sources(spark, paths),
+        report = jobs.run_daily(spark, files.read_available_sources(spark, paths),
                                 jobs.Warehouse(args.warehouse, extra), suites=suites)
     except (Q.QualityGateError, jobs.ModelTestError) as e:
         logging.error("%s", e)

@@ -47,3 +47,15 @@ def test_daily_cli_with_jdbc_copy(spark, seed, tmp):
     assert rc == 0
     t = sinks.jdbc_target("orders", url, "raw.orders", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
     assert sinks.read_table(spark, t).count() == 3
+
+
+def test_daily_cli_missing_source_fails_gate(spark, seed, tmp):
+    from shopflow.tables import SourcePaths
+    _csv_sources({k: v for k, v in seed.items() if k != "products"}, f"{tmp}/src")
+    paths = SourcePaths(**{n: f"{tmp}/src/{n}" for n in ("orders", "customers", "products", "order_items")})
+    got = files.read_available_sources(spark, paths)
+    assert sorted(got) == ["customers", "order_items", "orders"]
+    res = {r.dataset: r for r in Q.summarize(Q.run_suites(got, RELAXED)).collect()}
+    assert res["products"].success is False and res["products"].total == 0
+    assert res["orders"].success is True
+    assert main(["daily", "--sources", f"{tmp}/src", "--warehouse", f"{tmp}/wh"]) == 1
