@@ -72,6 +72,14 @@ def bigquery_target(name: str, project: str, dataset: str, table: str, **extra)
 
 
 def writer(df: DataFrame, target: Target, mode: str):
+    if target.partition_by and target.format not in ("jdbc", "bigquery"):
+        # Without this every task writes one file per partition value it
+        # holds (tasks x values small files).  REBALANCE groups rows by the
+        # partition columns into reasonably sized partitions, and AQE splits
+        # a value that is too big (a table that is all one date) across
+        # tasks.  It needs AQE: inside a streaming micro-batch (AQE off) the
+        # hint is a no-op and each task writes its own files.
+        df = df.hint("rebalance", *target.partition_by)
     w = df.write.mode(mode)
     if target.format == "jdbc":
         opts = dict(target.options)
