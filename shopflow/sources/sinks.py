@@ -71,15 +71,19 @@ def bigquery_target(name: str, project: str, dataset: str, table: str, **extra)
     return Target(name, "bigquery", f"{project}.{dataset}.{table}", opts)
 
 
-def writer(df: DataFrame, target: Target, mode: str):
+def _rebalanced(df: DataFrame, target: Target) -> DataFrame:
+    """Without this every task writes one file per partition value it holds
+    (tasks x values small files).  REBALANCE groups rows by the partition
+    columns into reasonably sized partitions, and AQE splits a value that is
+    too big (a table that is all one date) across tasks.  It needs AQE:
+    inside a streaming micro-batch (AQE off) the hint is a no-op and each
+    task writes its own files."""
     if target.partition_by and target.format not in ("jdbc", "bigquery"):
-        # Without this every task writes one file per partition value it
-        # holds (tasks x values small files).  REBALANCE groups rows by the
-        # partition columns into reasonably sized partitions, and AQE splits
-        # a value that is too big (a table that is all one date) across
-        # tasks.  It needs AQE: inside a streaming micro-batch (AQE off) the
-        # hint is a no-op and each task writes its own files.
-        df = df.hint("rebalance", *target.partition_by)
+        return df.hint("rebalance", *target.partition_by)
+    return df
+
+
+def writer(df: DataFrame, target: Target, mode: str):
     w = df.write.mode(mode)
     if target.format == "jdbc":
         opts = dict(target.options)
@@ -108,7 +112,9 @@ def _save(df: DataFrame, target: Target, mode: str) -> None:
 def write_table(df: DataFrame, target: Target, mode: str = "overwrite") -> dict:
     """Write ``df`` and return the row count observed during the write."""
     obs = Observation(f"load_{target.name}_{uuid.uuid4().hex[:8]}")
-    _save(df.observe(obs, F.count(F.lit(1)).alias("rows")), target, mode)
+    # metrics are collected above the rebalance, so they survive AQE
+    # replacing an empty input below it
+    _save(_rebalanced(df, target).observe(obs, F.count(F.lit(1)).alias("rows")), target, mode)
     return {"target": target.name, "rows": obs.get.get("rows", 0)}
 
 

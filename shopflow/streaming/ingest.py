@@ -37,8 +37,8 @@ DEFAULT_TOPIC = "orders_stream"
 REJECT_REASON = "Failed data quality checks"
 
 QUERY_NAME = "orders_stream_ingest"
-DEAD_LETTER_COLUMNS = ["raw_value", "order_id", "customer_id", "product_id", "amount", "quantity",
-                       "total_value", "event_time"]
+DEAD_LETTER_COLUMNS = ["raw_value", "source_position", "order_id", "customer_id", "product_id",
+                       "amount", "quantity", "total_value", "event_time"]
 
 
 # ---- sources -------------------------------------------------------------------
@@ -125,7 +125,8 @@ LANDING_SCHEMA = T.StructType([
     T.StructField("order_date", T.DateType()),
 ])
 DEAD_LETTER_SCHEMA = T.StructType([
-    T.StructField("raw_value", T.StringType()), T.StructField("order_id", T.StringType()),
+    T.StructField("raw_value", T.StringType()), T.StructField("source_position", T.StringType()),
+    T.StructField("order_id", T.StringType()),
     T.StructField("customer_id", T.StringType()), T.StructField("product_id", T.StringType()),
     T.StructField("amount", T.DoubleType()), T.StructField("quantity", T.IntegerType()),
     T.StructField("total_value", T.DoubleType()), T.StructField("event_time", T.TimestampNTZType()),

@@ -25,13 +25,18 @@ def parse_orders(messages: DataFrame) -> DataFrame:
     rejected record can be replayed from the dead-letter table.
     """
     text = F.col("value").cast("string")
+    # where the message came from (Kafka: topic:partition:offset), if known
+    position = (F.concat_ws(":", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+                if {"topic", "partition", "offset"} <= set(messages.columns)
+                else F.lit(None).cast("string"))
     # The fields come out of a generator (one row per message, all-NULL for
     # text that is not JSON): filters on them cannot be pushed beneath it,
     # so each message is parsed exactly once instead of once per field a
     # later predicate reads.
     return (messages
-            .select(text.alias("raw_value"), F.inline(F.array(F.from_json(text, ORDER_EVENT))))
-            .select("raw_value", *PAYLOAD_FIELDS)
+            .select(text.alias("raw_value"), position.alias("source_position"),
+                    F.inline(F.array(F.from_json(text, ORDER_EVENT))))
+            .select("raw_value", "source_position", *PAYLOAD_FIELDS)
             .withColumn("event_time", to_event_time(F.col("event_time")))
             .withColumn("total_value", money_product(F.col("amount"), F.col("quantity")))
             .withColumn("processing_time", F.current_timestamp()))
@@ -45,7 +50,9 @@ def dedup_key() -> Column:
     """State key of the stream dedup: valid rows by order id; invalid rows
     by a hash of their raw text, so malformed records neither collide with
     one another nor block a later corrected record of the same order."""
-    raw_hash = F.coalesce(F.sha2(F.col("raw_value"), 256), F.lit("null-payload"))
+    # a NULL payload has no text to hash: its position in the source names it
+    raw_hash = F.coalesce(F.sha2(F.col("raw_value"), 256), F.col("source_position"),
+                          F.lit("null-payload"))
     return F.when(valid_flag(), F.concat(F.lit("v:"), F.col("order_id"))) \
             .otherwise(F.concat(F.lit("x:"), raw_hash))
 

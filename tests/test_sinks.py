@@ -82,3 +82,12 @@ def test_full_refresh_overwrite_drops_stale_partitions(spark, tmp):
     sinks.write_table(spark.createDataFrame([("a", 1), ("b", 2)], "k string, d int"), t)
     sinks.write_table(spark.createDataFrame([("c", 2)], "k string, d int"), t)
     assert [tuple(r) for r in sinks.read_table(spark, t).collect()] == [("c", 2)]
+
+
+def test_empty_append_to_partitioned_table_reports_zero(spark, tmp):
+    t = sinks.file_target("t", f"{tmp}/ep", partition_by=("d",))
+    sinks.write_table(spark.createDataFrame([("a", 1)], "k string, d int"), t)
+    empty = spark.createDataFrame([("a", 1)], "k string, d int").filter("k = 'zz'")
+    assert sinks.write_table(empty, t, "append")["rows"] == 0
+    assert sinks.append_if_absent(spark, spark.createDataFrame([("a", 1)], "k string, d int"),
+                                  t, ["k"], prune_by="d")["rows"] == 0

@@ -153,3 +153,14 @@ def test_key_check_modes(spark, tmp):
             df = spark.createDataFrame([(m.encode(),) for m in batch], "value binary")
             ING.process_batch(ING.deduplicated(ST.parse_orders(df)), i, targets)
         assert sinks.read_table(spark, targets.landing).count() == expected, mode
+
+
+def test_null_payloads_keyed_by_source_position(spark):
+    """Kafka-shaped input: NULL payloads are told apart by topic:partition:offset."""
+    rows = [(None, "orders_stream", 0, 10), (None, "orders_stream", 0, 11),
+            (_msg("k", "00:00:00").encode(), "orders_stream", 1, 5)]
+    df = spark.createDataFrame(rows, "value binary, topic string, partition int, offset long")
+    parsed = ST.parse_orders(df)
+    keys = sorted(r.k for r in parsed.select(ST.dedup_key().alias("k")).collect())
+    assert keys == ["v:k", "x:orders_stream:0:10", "x:orders_stream:0:11"]
+    assert ING.deduplicated(parsed).count() == 3
