@@ -31,6 +31,7 @@ def tmp(spark):
 
 
 # ---- seed rows (the bootstrap rows the warehouse ships with) ----------------
+# Transcribed as data, they must equal the shipped seed rows.
 SEED_CUSTOMERS = [
     ("cust_001", "uniq_001", "sao paulo", "SP"),
     ("cust_002", "uniq_002", "rio de janeiro", "RJ"),
