@@ -21,7 +21,7 @@ import json
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -244,8 +244,11 @@ def run_suites(tables: dict[str, DataFrame], suites: dict[str, list[Expectation]
     missing = [] if only is not None else [(n, -1, "dataset", None, None, None, False,
                 "source not found" if n not in tables else "suite not found")
                for n in sorted(set(tables) ^ set(suites))]
-    if missing and spark is not None:
+    spark = spark or SparkSession.active()
+    if missing:
         parts.append(spark.createDataFrame(missing, RESULT_SCHEMA))
+    if not parts:
+        return spark.createDataFrame([], RESULT_SCHEMA)
     return reduce(DataFrame.unionByName, parts)
 
 

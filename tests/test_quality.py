@@ -127,3 +127,11 @@ def test_checks_fuse_into_one_scan(spark):
     tree = plan_text(Q.run_suite(df, "order_items", suite)).split("\n\n")[0]
     assert tree.count("Scan parquet") == 1
     assert len(suite) == 9
+
+
+def test_no_sources_fails_every_dataset(spark):
+    res = Q.run_suites({}, Q.SUITES)
+    summ = {r.dataset: r for r in Q.summarize(res).collect()}
+    assert set(summ) == set(Q.SUITES) and not any(r.success for r in summ.values())
+    with pytest.raises(Q.QualityGateError):
+        Q.gate(res)
