@@ -175,24 +175,28 @@ def insert_if_absent(new: DataFrame, existing: DataFrame | None, keys: list[str]
 
 def append_if_absent(spark: SparkSession, new: DataFrame, target: Target, keys: list[str],
                      prune_by: str | None = None, dedup: bool = True,
-                     target_exists: bool | None = None) -> dict:
+                     target_exists: bool | None = None, bounds: tuple | None = None,
+                     layout=None) -> dict:
     """Idempotent append: a replayed batch adds nothing.
 
     ``prune_by`` names a partition column of the target: only the
     partitions between the batch's min and max value are read for the key
-    check (two scalars reach the driver), so the check does not rescan a
-    table that keeps growing.
+    check (two scalars reach the driver; pass them as ``bounds`` when
+    already known), so the check does not rescan a table that keeps
+    growing.  ``layout`` may re-partition the rows to write.
     """
     if target_exists is None:
         target_exists = exists(spark, target)
     existing = read_table(spark, target) if target_exists else None
     if existing is not None and prune_by:
-        lo, hi = new.agg(F.min(prune_by), F.max(prune_by)).first()
+        lo, hi = bounds if bounds is not None else new.agg(F.min(prune_by), F.max(prune_by)).first()
         if lo is None:
             existing = None
         else:
             existing = existing.filter(F.col(prune_by).between(lo, hi))
     rows = insert_if_absent(new, existing, keys, dedup)
+    if layout is not None:
+        rows = layout(rows)
     return write_table(rows, target, "append")
 
 

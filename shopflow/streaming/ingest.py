@@ -149,6 +149,19 @@ def landing_rows(valid: DataFrame) -> DataFrame:
     return to_landing(valid).withColumn("order_date", F.to_date("event_time"))
 
 
+def _landing_layout(spark: SparkSession, lo, hi):
+    """Write layout for a micro-batch.  AQE (and so the rebalance hint) is
+    off inside micro-batches, and each write task would create one file per
+    date it holds.  A batch spanning more than two dates (a backfill) is
+    range-partitioned by (order_date, order_id): about one file per task
+    plus one per date, and a hot date still splits across tasks by order_id
+    ranges.  Live batches (one or two dates) are written as they come."""
+    if lo is None or (hi - lo).days < 2:
+        return None
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return lambda df: df.repartitionByRange(n, "order_date", "order_id")
+
+
 def process_batch(batch: DataFrame, batch_id: int, targets: IngestSinks,
                   reason: str = REJECT_REASON) -> dict:
     """One micro-batch: split, land valid rows, dead-letter the rest.
@@ -169,11 +182,14 @@ def process_batch(batch: DataFrame, batch_id: int, targets: IngestSinks,
         bad = invalid.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
         dead = sinks.write_dead_letters(bad.select(*DEAD_LETTER_COLUMNS), targets.dead_letter,
                                         batch_id, reason)
+        rows = landing_rows(valid)
+        lo, hi = rows.agg(F.min("order_date"), F.max("order_date")).first()
         prune = "order_date" if targets.key_check == "pruned" else None
         # valid rows arrive unique per order id (stream dedup), so no second
         # in-batch dedup: just the anti-join against already landed keys
-        landed = sinks.append_if_absent(spark, landing_rows(valid), targets.landing, ["order_id"],
-                                        prune_by=prune, dedup=False, target_exists=True)
+        landed = sinks.append_if_absent(spark, rows, targets.landing, ["order_id"],
+                                        prune_by=prune, dedup=False, target_exists=True,
+                                        bounds=(lo, hi), layout=_landing_layout(spark, lo, hi))
         log.info("batch %d: %d landed, %d dead-lettered", batch_id, landed["rows"], dead["rows"])
         return {"batch_id": batch_id, "landed": landed["rows"], "dead_letters": dead["rows"]}
     finally:

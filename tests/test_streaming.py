@@ -164,3 +164,18 @@ def test_null_payloads_keyed_by_source_position(spark):
     keys = sorted(r.k for r in parsed.select(ST.dedup_key().alias("k")).collect())
     assert keys == ["v:k", "x:orders_stream:0:10", "x:orders_stream:0:11"]
     assert ING.deduplicated(parsed).count() == 3
+
+
+def test_multi_date_batch_written_by_range(spark, tmp):
+    """A backfill batch over several dates: range layout, few files, all rows."""
+    msgs = [_msg(f"o{d}_{i}", "00:00:00").replace("2024-01-01", f"2024-01-0{d}")
+            for d in range(1, 6) for i in range(40)]
+    targets = ING.ingest_sinks(f"{tmp}/range")
+    sinks.ensure_exists(spark, targets.landing)
+    sinks.ensure_exists(spark, targets.dead_letter)
+    df = spark.createDataFrame([(m.encode(),) for m in msgs], "value binary").repartition(8)
+    ING.process_batch(ING.deduplicated(ST.parse_orders(df)), 0, targets)
+    landed = sinks.read_table(spark, targets.landing)
+    assert landed.count() == 200
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(spark.read.parquet(targets.landing.location).inputFiles()) <= n + 5
