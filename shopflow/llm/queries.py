@@ -6,10 +6,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shopflow.llm import exact_dedup as ED
+from shopflow.llm import packing as PK
 from shopflow.llm import quality_rules as QR
+from shopflow.llm import sentence_pieces as SP
+from shopflow.llm import token_store as TS
 from shopflow.llm.common import table
 
 
+# The vocabulary files of the public tokenizers; a parameter of every operator
+# that needs one.
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+PIECES_32K = "piece_bpe_32k.model"
+BYTES_50K = "byte_bpe_50k.json"
+
+
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ED.exact_dedup(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SP.round_trip(spark, table(spark, sf_dir, "documents"), vocabulary(PIECES_32K))
+
+
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = TS.write_tokens(spark, table(spark, sf_dir, "documents"), vocabulary(BYTES_50K), end=0)
+    return TS.digests(spark, path)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PK.pack(spark, table(spark, sf_dir, "documents"), vocabulary(BYTES_50K), end=1)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = QR.quality_rules(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -17,9 +50,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_exact_dedup": op2_exact_dedup,
+    "op3_sentence_pieces": op3_sentence_pieces,
+    "op4_token_store": op4_token_store,
+    "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 
 # Statements DuckDB can run on the same tables; the others are tested against
 # brute-force versions in tests/llm.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_exact_dedup": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+                          regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', '', 'g') AS b FROM documents),
+             k AS (SELECT b, count(*) AS group_size,
+                          first(doc_id ORDER BY length(t) DESC, doc_id) AS keep_id FROM d GROUP BY b)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(b) AS text_sha256
+        FROM d JOIN k USING (b)""",
+}
