@@ -75,3 +75,24 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
         cuts = np.flatnonzero(np.diff(group)) + 1
         for lo, hi in zip([0, *cuts], [*cuts, b.num_rows], strict=True):
             yield b.slice(int(lo), int(hi - lo))
+
+
+def cut(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
+    """The non-empty buckets of an ascending array, each with its slice."""
+    edges = np.searchsorted(bucket, np.arange(buckets + 1))
+    for b in np.flatnonzero(np.diff(edges)):
+        yield int(b), slice(edges[b], edges[b + 1])
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays, each behind its length, as one value for a shuffle."""
+    return b"".join(np.int64(len(a)).tobytes() + a.tobytes() for a in arrays)
+
+
+def unpack(blob: bytes, *types) -> list[np.ndarray]:
+    out, at = [], 0
+    for t in types:
+        n = int(np.frombuffer(blob, np.int64, 1, at)[0])
+        out.append(np.frombuffer(blob, t, n, at + 8))
+        at += 8 + n * np.dtype(t).itemsize
+    return out

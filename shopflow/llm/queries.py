@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shopflow.llm import exact_dedup as ED
+from shopflow.llm import kneser_ney as KN
+from shopflow.llm import language_id as LI
 from shopflow.llm import packing as PK
 from shopflow.llm import quality_rules as QR
 from shopflow.llm import sentence_pieces as SP
 from shopflow.llm import token_store as TS
+from shopflow.llm import toxicity as TX
 from shopflow.llm.common import table
 
 
@@ -39,6 +42,19 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TS.digests(spark, path)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TX.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return KN.score(docs, KN.train(spark, docs.where(~KN.held_out())))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LI.language_id(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PK.pack(spark, table(spark, sf_dir, "documents"), vocabulary(BYTES_50K), end=1)
 
@@ -53,6 +69,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_sentence_pieces": op3_sentence_pieces,
     "op4_token_store": op4_token_store,
+    "op6_toxicity": op6_toxicity,
+    "op7_kneser_ney": op7_kneser_ney,
+    "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
 }
