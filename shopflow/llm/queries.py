@@ -12,6 +12,7 @@ from shopflow.llm import language_id as LI
 from shopflow.llm import packing as PK
 from shopflow.llm import quality_rules as QR
 from shopflow.llm import sentence_pieces as SP
+from shopflow.llm import suffix_dedup as SD
 from shopflow.llm import token_store as TS
 from shopflow.llm import toxicity as TX
 from shopflow.llm.common import table
@@ -42,6 +43,10 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TS.digests(spark, path)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SD.suffix_dedup(spark, table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TX.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_sentence_pieces": op3_sentence_pieces,
     "op4_token_store": op4_token_store,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_kneser_ney": op7_kneser_ney,
     "op8_language_id": op8_language_id,
