@@ -22,6 +22,12 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
+def boxed(docs: DataFrame, *columns: Column | str) -> DataFrame:
+    """The named columns beside whole rows as one struct, so that no column
+    of the input, whatever its name, meets those that an operator adds."""
+    return docs.select(*columns, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+
+
 def fold(doc_id: Column, n: int) -> Column:
     """crc32 of the decimal doc_id, modulo ``n``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % n

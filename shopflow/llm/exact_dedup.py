@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import SPACE_CHARS, saved, shuffle_parts
+from shopflow.llm.common import SPACE_CHARS, boxed, saved, shuffle_parts
 
 TABLE_BYTES = 64 << 20
 RECORD = "sha string, content string, cp long, id long, n long"
@@ -185,7 +185,7 @@ def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     ids = exact_dedup(spark, docs).where("kept").select(
         F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("n_code_points").alias("_cp"))
     text = F.coalesce(F.col("text"), F.lit(""))
-    marked = docs.withColumns({"_s": F.sha2(F.translate(text, SPACE_CHARS, ""), 256),
-                               "_n": F.length(text).cast("long")})
+    marked = boxed(docs, "doc_id", F.sha2(F.translate(text, SPACE_CHARS, ""), 256).alias("_s"),
+                   F.length(text).cast("long").alias("_n"))
     on = (F.col("_s") == F.col("_sha")) & (F.col("_n") == F.col("_cp")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    return marked.join(ids, on, "left_semi").dropDuplicates(["doc_id", "_s", "_n"]).drop("_s", "_n")
+    return marked.join(ids, on, "left_semi").dropDuplicates(["doc_id", "_s", "_n"]).select("_row.*")

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import SPACE, SPACE_CHARS
+from shopflow.llm.common import SPACE, SPACE_CHARS, boxed
 
 ENDING = 3
 BUCKETS = 1 << 14
@@ -150,3 +150,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, labels: DataFrame,
     """
     trusted = labels.where("quality = 1").select("doc_id")
     return judge(docs, log_ratios(docs, trusted), threshold, *more)
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that pass, with their columns."""
+    out = quality_rules(spark, boxed(docs, "doc_id", "text"), labels, THRESHOLD, "_row")
+    return out.where("kept").select("_row.*")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shopflow.llm import exact_dedup as ED
+from shopflow.llm import jaccard_join as JJ
 from shopflow.llm import kneser_ney as KN
 from shopflow.llm import language_id as LI
 from shopflow.llm import packing as PK
@@ -29,6 +30,10 @@ PIECES_32K = "piece_bpe_32k.model"
 BYTES_50K = "byte_bpe_50k.json"
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return JJ.jaccard_join(spark, table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ED.exact_dedup(spark, table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -70,7 +75,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "score")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_sentence_pieces": op3_sentence_pieces,
     "op4_token_store": op4_token_store,
@@ -80,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
+    "pipeline": pipeline,
 }
 
 # Statements DuckDB can run on the same tables; the others are tested against

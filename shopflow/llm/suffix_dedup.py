@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import saved, shuffle_parts
+from shopflow.llm.common import boxed, saved, shuffle_parts
 from shopflow.llm.gather import cut, pack, ragged, slices, unpack
 
 LENGTH = 100
@@ -413,15 +413,15 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, buckets: int | None = Non
 def without_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` with the removed bytes cut out of ``text`` (a character that
     a cut splits goes with it) and ``n_chars`` counted again."""
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    joined = _join(_keyed(docs, *others), removed_spans(spark, docs), "spans", "left")
+    whole = boxed(docs, "doc_id", "text")
+    joined = _join(_keyed(whole, "_row"), removed_spans(spark, docs), "spans", "left")
 
     @F.pandas_udf("string")
     def rest(text, spans):
         import pandas as pd
         return pd.Series([_kept(t.encode(), None if s is None else bytes(s))[0].decode(errors="ignore")
                           for t, s in zip(text, spans, strict=True)])
-    out = joined.withColumn("text", F.when(F.col("spans").isNull(), F.col("text")).otherwise(rest("text", "spans")))
-    if "n_chars" in others:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(docs.columns)
+    text = F.when(F.col("spans").isNull(), F.col("_row.text")).otherwise(rest("text", "spans"))
+    out = joined.withColumn("text", text)
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return out.select(*[new[c].alias(c) if c in new else F.col(f"_row.`{c}`") for c in docs.columns])
