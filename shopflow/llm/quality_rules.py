@@ -130,12 +130,15 @@ def judge(docs: DataFrame, ratios: list[int], threshold: float = THRESHOLD, *mor
         "total": F.aggregate("each", F.lit(0).cast("long"), lambda a, x: a + x),
         "n_grams": F.greatest(2 * F.col("n_words") - 1, F.lit(0).cast("long"))})
     bar = int(round(threshold * MICRO))
+    # always true, but not deterministic to the optimizer: without it a filter
+    # on the verdict would be pushed below and repeat every expression above
+    here = F.monotonically_increasing_id() >= 0
     return scored.select(
         "doc_id", *more, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_grams",
         F.when(F.col("n_grams") > 0, F.col("total") / F.col("n_grams") / MICRO)
         .otherwise(F.lit(0.0)).alias("score"),
         base_failed().alias("base_failed"),
-        (~base_failed() & (F.col("total") >= bar * F.col("n_grams"))).alias("kept"))
+        (~base_failed() & (F.col("total") >= bar * F.col("n_grams")) & here).alias("kept"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, labels: DataFrame,
