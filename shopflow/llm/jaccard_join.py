@@ -13,15 +13,18 @@
 4. Candidates are verified on the complete shared sets.  First every class
    is held against one hub of its prefix lists, the smallest class that it
    shares most of them with; classes that this links form components, and
-   only pairs across components are candidates after that.  A large group
-   of near copies so costs a pair per member, and no link between different
-   components goes unseen.
+   only pairs across components are candidates after that.  Short lists
+   are joined with themselves and their pairs counted.  The members of long
+   lists, grouped by the lists they share, are compared block by block: a
+   block pair's complete intersections are one matrix product, of which only
+   the links that join components come out.  A large group of near copies
+   so never becomes rows of pairs, and no link between components is lost.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import SPACE, boxed, saved, shuffle_parts
+from shopflow.llm.common import boxed, saved, shuffle_parts
 from shopflow.llm.components import components
 from shopflow.llm.gather import cut, pack, slices, unpack
 
@@ -38,10 +41,11 @@ NEED, OF = 3, 4              # the similarity, 0.75, as a fraction
 DEEPEST = 12                 # most shared prefix shingles a class may require
 VERIFY = 16.0                # cost of verifying a pair, in list entries read
 HUB_ROUNDS = 2
+LONG_LIST = 48               # a longer list's members are compared in blocks
+BLOCK = 1000                 # classes in a block
+COLUMNS = 4096               # shingles multiplied at a time
 CHUNK = 3_000_000            # shingles a task packs at a time
 BROADCAST_BYTES = 48 << 20
-_WORD = re.compile(f"[^{SPACE}]+")
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _C = np.uint64(0x9E3779B97F4A7C15)
 _LOW48 = np.uint64((1 << 48) - 1)
 
@@ -54,17 +58,23 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def shingle_sets(batch: list[str]) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text."""
-    words = [_WORD.findall(t.lower() if t.isascii() else t.translate(_LOWER)) for t in batch]
-    known = {w: xxhash.xxh3_64_intdigest(w.encode()) for w in {w for ws in words for w in ws}}
+    """Sorted distinct shingle hashes of each text.  As bytes, a text is cut
+    at the six ASCII white-space characters and only A-Z change case."""
+    words = [t.encode().lower().split() for t in batch]
+    n = np.fromiter(map(len, words), np.int64, len(words))
+    flat = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(words)), np.uint64, int(n.sum()))
+    whole = np.full(max(len(flat) - WORDS + 1, 0), WORDS, np.uint64)
+    for j in range(WORDS):
+        whole = _mixed(whole * _C + flat[j:len(flat) - WORDS + 1 + j]) if len(whole) else whole
     out = []
-    for ws in words:
-        h = np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws))
-        k = min(WORDS, len(h))
-        s = np.full(max(len(h) - k + 1, 0) if k else 0, k, np.uint64)
-        for j in range(k):
-            s = _mixed(s * _C + h[j:len(h) - k + 1 + j])
-        out.append(np.unique(s))
+    for at, k in zip((np.cumsum(n) - n).tolist(), n.tolist(), strict=True):
+        if k >= WORDS:
+            out.append(np.unique(whole[at:at + k - WORDS + 1]))
+        else:
+            s = np.full(1 if k else 0, k, np.uint64)
+            for j in range(k):
+                s = _mixed(s * _C + flat[at + j:at + j + 1])
+            out.append(s)
     return out
 
 
@@ -254,21 +264,77 @@ def links(sets: DataFrame) -> DataFrame | None:
             break
         all_links = new if all_links is None else all_links.unionByName(new)
         found = saved(components(all_links), "classes")
-    lists = saved(_labelled(postings, found), "lists")
-    side = lambda x: lists.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("key", "depth", "level", "n", "root")))
+    lists = _labelled(postings, found)
+    size = lists.groupBy("token").agg(F.count("*").alias("members"))
+    lists = saved(lists.join(size, "token"), "lists")
+    short, long = lists.where(F.col("members") <= LONG_LIST), lists.where(F.col("members") > LONG_LIST)
+    side = lambda x: short.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("key", "depth", "level", "n", "root")))
     least = F.least("depth_a", "depth_b")
     met = side("a").join(side("b"), "token").where(
         (F.col("key_a") < F.col("key_b")) & (F.col("root_a") != F.col("root_b")) & near
         & (F.col("level_a") <= least) & (F.col("level_b") <= least))
     candidates = met.groupBy(F.col("key_a").alias("a"), F.col("key_b").alias("b")).agg(
         F.count("*").alias("c"), F.first(least).alias("l")).where("c >= l")
-    last = saved(_linked(candidates, sets), "links-across")
+    last = saved(_linked(candidates, sets).unionByName(_block_links(long, sets)), "links-across")
     if not last.isEmpty():
         all_links = last if all_links is None else all_links.unionByName(last)
         found = saved(components(all_links), "classes")
     return found
 
 
+def _block_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between components among the members of long lists."""
+    hub = F.min("key").over(Window.partitionBy("token"))
+    groups = saved(components(lists.select(F.col("key").alias("a"), hub.alias("b"))), "groups")
+    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    roots = lists.select("key", F.col("root").alias("component")).distinct()
+    rows = (groups.join(sizes, "root").select(F.col("node").alias("key"), F.col("root").alias("g"), "blocks")
+            .join(roots, "key").join(sets.select("key", "n", "shared"), "key"))
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode_outer(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("g", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine",
+                       "key", "component", "n", "shared")
+    return rows.groupBy("g", "i", "j").applyInArrow(_compare, "a long, b long")
+
+
+def _compare(t: pa.Table) -> pa.Table:
+    """All pairs of two blocks; the links that join components."""
+    i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+    mine = t.column("mine").to_numpy()
+    key, root, n = (t.column(c).to_numpy() for c in ("key", "component", "n"))
+    a, b = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
+    links: list[tuple[int, int]] = []
+    if len(a) and len(b) and len(np.unique(root)) > 1:
+        shared = t.column("shared").combine_chunks()
+        size = np.diff(shared.offsets.to_numpy())
+        _, column, times = np.unique(shared.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(size)), size)
+        row, column = row[times[column] > 1], column[times[column] > 1]
+        column = np.unique(column, return_inverse=True)[1]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        both = np.zeros((len(a), len(b)), np.float32)
+        for k in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+            s = slice(*np.searchsorted(column, (k, k + COLUMNS)))
+            m = np.zeros((len(key), COLUMNS), np.float32)
+            m[row[s], column[s] - k] = 1
+            both += m[a] @ m[b].T
+        x, y = np.nonzero((NEED + OF) * both.astype(np.int64) >= NEED * (n[a][:, None] + n[b][None, :]))
+        parent = {int(r): int(r) for r in np.unique(root)}
+
+        def top(v: int) -> int:
+            while parent[v] != v:
+                parent[v] = v = parent[parent[v]]
+            return v
+        differ = root[a[x]] != root[b[y]]
+        for p, q in zip(a[x[differ]].tolist(), b[y[differ]].tolist(), strict=True):
+            u, v = top(int(root[p])), top(int(root[q]))
+            if u != v:
+                parent[max(u, v)] = min(u, v)
+                links.append((int(key[p]), int(key[q])))
+    return pa.table({"a": pa.array([p for p, _ in links], pa.int64()), "b": pa.array([q for _, q in links], pa.int64())})
+
+
 def jaccard_join(spark: SparkSession, docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``,
     ``component_id`` (smallest doc_id reachable by links, itself included).
