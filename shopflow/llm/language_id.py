@@ -27,6 +27,7 @@ from shopflow.llm.gather import slices
 
 PROFILE = 300
 LONGEST = 3
+BLANK = 1    # no letter, and not 0: " a" and "a" are two n-grams
 FOLDS, HELD_OUT = 5, 0
 _HELD = 400_000  # n-grams a task holds before it hands on partial counts
 
@@ -39,9 +40,9 @@ def _letters() -> np.ndarray:
 def grams(text: str) -> np.ndarray:
     """All n-grams of a text, as numbers (21 bits a character)."""
     cp = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    cp[~_letters()[cp]] = 0
-    cp = cp[np.concatenate(([True], (cp[1:] != 0) | (cp[:-1] != 0)))]
-    out, key = [cp[cp != 0]], cp
+    cp[~_letters()[cp]] = BLANK
+    cp = cp[np.concatenate(([True], (cp[1:] != BLANK) | (cp[:-1] != BLANK)))]
+    out, key = [cp[cp != BLANK]], cp
     for n in range(2, LONGEST + 1):
         key = (key[:-1] << 21) | cp[n - 1:]
         out.append(key)

@@ -214,8 +214,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFra
                                              names=["x", "y"])
     rows = sample.mapInArrow(features, "x array<double>, y double").collect()
     rows = sorted(rows, key=lambda r: (r["x"], r["y"]))
-    x = np.array([r["x"] for r in rows]).reshape(len(rows), -1)
-    w = fit_classifier(x, np.array([r["y"] for r in rows])) if len(rows) else None
+    w = fit_classifier(np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows])) if rows else None
 
     def score(batches):
         for b in slices(batches):
