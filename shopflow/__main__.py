@@ -46,9 +46,10 @@ def cmd_daily(args) -> int:
         if args.bigquery_project:
             extra.setdefault(table, []).append(sinks.bigquery_target(
                 table, args.bigquery_project, args.bigquery_dataset, name.split(".", 1)[1]))
+    landing = spark.read.parquet(args.landing) if args.landing else None
     try:
         report = jobs.run_daily(spark, files.read_available_sources(spark, paths),
-                                jobs.Warehouse(args.warehouse, extra), suites=suites)
+                                jobs.Warehouse(args.warehouse, extra), suites=suites, landing=landing)
     except (Q.QualityGateError, jobs.ModelTestError) as e:
         logging.error("%s", e)
         return 1
@@ -64,7 +65,7 @@ def cmd_stream(args) -> int:
         messages = ING.kafka_source(spark, args.kafka, args.topic)
     else:
         messages = ING.json_file_source(spark, args.files)
-    targets = ING.ingest_sinks(args.output, key_check=args.key_check)
+    targets = ING.ingest_sinks(args.output)
     trigger = {"availableNow": True} if args.available_now else None
     q = ING.start_ingest(messages, targets, args.checkpoint, trigger,
                          state_store=args.state_store, state_partitions=args.state_partitions)
@@ -81,6 +82,8 @@ def main(argv=None) -> int:
     d.add_argument("--format", default="csv", choices=["csv", "parquet"])
     d.add_argument("--warehouse", required=True, help="output root (<schema>/<table> folders)")
     d.add_argument("--suites", help="folder with <dataset>_suite.json files (default: built-in suites)")
+    d.add_argument("--landing", help="the stream's landing table (parquet); the realtime mart is built from it, "
+                                     "and without it the tests of both fail")
     d.add_argument("--jdbc-url", help="also load the raw tables into this database (truncate + insert)")
     d.add_argument("--jdbc-user")
     d.add_argument("--jdbc-password")
@@ -101,8 +104,6 @@ def main(argv=None) -> int:
     s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     s.add_argument("--state-store", choices=["rocksdb"])
     s.add_argument("--state-partitions", type=int)
-    s.add_argument("--key-check", default="pruned", choices=["pruned", "full"],
-                   help="landing key check: event-date partitions of the batch, or every key")
     s.set_defaults(fn=cmd_stream)
     args = p.parse_args(argv)
     return args.fn(args)

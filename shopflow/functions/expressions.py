@@ -25,12 +25,13 @@ def null_safe_true(pred: Column) -> Column:
 def money_product(amount: Column, quantity: Column) -> Column:
     """``round(amount * quantity, 2)`` computed in decimal arithmetic.
 
-    Rounding the binary double product is not stable at the .xx5 ties;
-    multiplying the 2-decimal amount as a decimal is exact, and the result
-    is handed back as a double.
+    Rounding the binary double product is not stable at the .xx5 ties; the
+    amount to eight decimals times the quantity is exact, and only the
+    product is rounded.  An amount that no decimal(27,8) holds (1e19 and
+    more, infinite, NaN) has no total: NULL, never an error.
     """
-    exact = amount.cast("decimal(12,2)") * quantity.cast("decimal(10,0)")
-    return exact.cast("decimal(18,2)").cast("double")
+    exact = amount.try_cast("decimal(27,8)") * quantity.cast("decimal(10,0)")
+    return F.round(exact, 2).cast("double")
 
 
 def to_event_time(text: Column) -> Column:
@@ -48,11 +49,12 @@ def is_valid_event(amount="amount", quantity="quantity", event_time="event_time"
                    ids=("order_id", "customer_id", "product_id")) -> Column:
     """Row validity of an order event, NULL-safe.
 
-    amount > 0 (and not NaN) AND quantity > 0 AND every id present AND an
-    event time present (the landing table requires one).
+    amount > 0 with a total (so finite) AND quantity > 0 AND every id present
+    AND an event time present (the landing table requires both).
     """
     a = F.col(amount)
-    pred = (a > 0) & ~F.isnan(a) & (F.col(quantity) > 0) & F.col(event_time).isNotNull()
+    total = money_product(a, F.col(quantity))
+    pred = (a > 0) & total.isNotNull() & (F.col(quantity) > 0) & F.col(event_time).isNotNull()
     for c in ids:
         pred = pred & F.col(c).isNotNull()
     return null_safe_true(pred)

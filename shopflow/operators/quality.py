@@ -263,11 +263,12 @@ def summarize(results: DataFrame) -> DataFrame:
                  F.bool_and("success").alias("success")))
 
 
-def gate(results: DataFrame) -> DataFrame:
+def gate(results: DataFrame) -> list[dict]:
     """Fail fast: raise :class:`QualityGateError` unless every dataset passed.
-    Only the per-dataset summary (one row per dataset) reaches the driver."""
-    summary = summarize(results)
-    failed = [r.asDict() for r in summary.filter(~F.col("success")).collect()]
+    The checks run once; only the per-dataset summary (one row per dataset)
+    reaches the driver and is returned."""
+    summary = [r.asDict() for r in summarize(results).collect()]
+    failed = [r for r in summary if not r["success"]]
     if failed:
         raise QualityGateError(failed)
     return summary
@@ -385,21 +386,10 @@ def violations(relations: dict[str, DataFrame], t: ModelTest) -> DataFrame:
 
 
 def orphan_items(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Items whose order is missing (a left join + IS NULL filter, written
-    as anti/semi joins, which Catalyst does not derive by itself).
-
-    The missing order ids are found from the *distinct* item keys (a hot
-    order collapses to one key on the map side); the item rows are then
-    fetched with a semi-join against that usually small key set, which the
-    planner broadcasts when its measured size allows, so the item table is
-    not shuffled on a possibly hot key.  Items without an order id are
-    orphans too.
-    """
-    keys = items.select("order_id").filter(F.col("order_id").isNotNull()).distinct()
-    missing = keys.join(orders.select("order_id"), "order_id", "left_anti")
-    cols = ["order_id", "order_item_id", "product_id"]
-    return (items.join(missing, "order_id", "left_semi").select(*cols)
-                 .unionByName(items.filter(F.col("order_id").isNull()).select(*cols)))
+    """Items whose order is missing, items without an order id included: one
+    anti-join, whose item side AQE splits where an order is hot."""
+    return items.join(orders.select("order_id"), "order_id", "left_anti").select(
+        "order_id", "order_item_id", "product_id")
 
 
 def _failure_count(relations: dict[str, DataFrame], t: ModelTest) -> DataFrame:

@@ -162,8 +162,8 @@ def parse_order_events(spark, sf_dir):
 
 @register("derive_total_value",
           "SELECT event_id, value AS amount, CAST(json_extract_string(props, '$.k') AS INTEGER) AS quantity, "
-          "CAST(CAST(CAST(value AS DECIMAL(12,2)) * CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) "
-          "AS DECIMAL(10,0)) AS DECIMAL(18,2)) AS DOUBLE) AS total_value FROM events")
+          "CAST(round(TRY_CAST(value AS DECIMAL(27,8)) * CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) "
+          "AS DECIMAL(10,0)), 2) AS DOUBLE) AS total_value FROM events")
 def derive_total_value(spark, sf_dir):
     """round(amount * quantity, 2) in exact decimal arithmetic."""
     ev = feeds.read_table(spark, sf_dir, "events")
@@ -264,10 +264,13 @@ def test_no_orphan_items(spark, sf_dir):
 
 @register("src_csv_scan", O.with_ctes("SELECT * FROM raw_customers", "raw_customers"))
 def src_csv_scan(spark, sf_dir):
-    """Land the customer feed as CSV text, scan it back with the declared
-    schema (blanks and empty strings preserved)."""
+    """Land the customer feed as CSV text, with more columns and in another
+    order, and scan the declared ones back by header name (blanks and empty
+    strings preserved)."""
     path = work_dir(spark, "csv_customers")
-    files.write_csv(feeds.raw_customers(spark, sf_dir), path)
+    feed = feeds.raw_customers(spark, sf_dir)
+    wider = feed.select(F.lit("01310").alias("customer_zip_code_prefix"), *reversed(feed.columns), F.lit(1).alias("extra"))
+    files.write_csv(wider, path)
     return files.read_csv(spark, path, RAW_CUSTOMERS)
 
 

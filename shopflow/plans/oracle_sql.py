@@ -87,8 +87,8 @@ MESSAGES = (
 )
 assert _EVENT_COLS  # the restated fields above follow EVENT_FIELDS
 
-TOTAL_VALUE = ("CAST(CAST(CAST(amount AS DECIMAL(12,2)) * CAST(quantity AS DECIMAL(10,0)) "
-               "AS DECIMAL(18,2)) AS DOUBLE)")
+TOTAL_VALUE = ("CAST(round(TRY_CAST(amount AS DECIMAL(27,8)) * CAST(quantity AS DECIMAL(10,0)), 2) "
+               "AS DOUBLE)")
 VALID = ("coalesce(amount > 0 AND NOT isnan(amount) AND quantity > 0 AND event_time IS NOT NULL "
          "AND order_id IS NOT NULL AND customer_id IS NOT NULL AND product_id IS NOT NULL, false)")
 

@@ -50,8 +50,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local runs, tests) a private
-    folder is created and registered, so ``DataFrame.checkpoint()`` and
+    A cluster must name it; only a local master (tests) may leave it unset,
+    and then a private folder is created and registered, so ``DataFrame.checkpoint()`` and
     every table written by shopflow land in the same place.
     """
     try:
@@ -62,6 +62,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         root = tempfile.mkdtemp(prefix="shopflow-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(root)
@@ -76,17 +78,17 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
 
 def size_shuffles(spark: SparkSession, shuffle_bytes: int, target_bytes: int = 128 * 1024 * 1024,
-                  min_partitions: int = 200, max_partitions: int = 200_000) -> int:
+                  min_partitions: int = 200) -> int:
     """Start shuffles with enough partitions for ``shuffle_bytes`` of data at
     about ``target_bytes`` each, and let AQE coalesce the small ones.
 
     AQE can merge partitions after a stage but cannot split an oversized one
     outside a join, so the initial count must follow the data volume (at
-    100 TB of shuffle input that is tens of thousands of partitions).  Set
+    100 TB of shuffle input that is about 820,000 partitions).  Set
     it before a batch job; a streaming query keeps the count its checkpoint
     was started with.
     """
-    n = max(min_partitions, min(max_partitions, -(-int(shuffle_bytes) // int(target_bytes))))
+    n = max(min_partitions, -(-int(shuffle_bytes) // int(target_bytes)))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(int(target_bytes)))
     return n

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopflow import schemas
@@ -16,9 +17,17 @@ CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTraili
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header row, read with the declared schema; malformed
-    fields become NULL (PERMISSIVE) rather than failing the scan."""
-    return spark.read.schema(schema).options(**CSV_READ).csv(path)
+    """CSV with a header row: the declared columns are taken by header name,
+    whatever else the file holds and in whatever order; text that does not
+    parse as the declared type becomes NULL.  A column that the file lacks is
+    absent from the result, so the column checks see the file as it is."""
+    return by_name(spark.read.options(**CSV_READ).csv(path), schema)
+
+
+def by_name(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared columns that ``df`` has, in the declared types."""
+    there = set(df.columns)
+    return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema if f.name in there])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -31,7 +40,7 @@ def read_source(spark: SparkSession, paths: SourcePaths, name: str) -> DataFrame
     schema = schemas.RAW[name]
     if paths.fmt == "csv":
         return read_csv(spark, paths.path(name), schema)
-    return spark.read.schema(schema).format(paths.fmt).load(paths.path(name))
+    return by_name(spark.read.format(paths.fmt).load(paths.path(name)), schema)
 
 
 def read_sources(spark: SparkSession, paths: SourcePaths) -> dict[str, DataFrame]:
@@ -47,6 +56,7 @@ def read_available_sources(spark: SparkSession, paths: SourcePaths) -> dict[str,
     for n in schemas.RAW:
         try:
             out[n] = read_source(spark, paths, n)
-        except AnalysisException:
-            continue
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     return out

@@ -101,20 +101,10 @@ def deduplicated(parsed: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
 
 @dataclass(frozen=True)
 class IngestSinks:
-    """Landing and dead-letter targets.
-
-    ``key_check`` picks how the landing append finds keys already landed:
-    ``"pruned"`` (default) reads only the ``order_date`` partitions present
-    in the batch — replays and redeliveries carry the same event time, so
-    they are always caught, and the check stays proportional to the batch;
-    ``"full"`` reads every landed key (exact for an order id reused at
-    another date, at the cost of a growing scan per micro-batch).  The
-    ``unique`` model test on the landing table reports any such reuse.
-    """
+    """Landing and dead-letter targets."""
 
     landing: sinks.Target
     dead_letter: sinks.Target
-    key_check: str = "pruned"
 
 
 LANDING_SCHEMA = T.StructType([
@@ -135,9 +125,8 @@ DEAD_LETTER_SCHEMA = T.StructType([
 ])
 
 
-def ingest_sinks(root: str, key_check: str = "pruned") -> IngestSinks:
+def ingest_sinks(root: str) -> IngestSinks:
     return IngestSinks(
-        key_check=key_check,
         landing=sinks.file_target("raw_orders_stream", f"{root}/raw_orders_stream",
                                   partition_by=("order_date",), schema=LANDING_SCHEMA),
         dead_letter=sinks.file_target("dead_letter", f"{root}/dead_letter", partition_by=("batch_id",),
@@ -184,12 +173,11 @@ def process_batch(batch: DataFrame, batch_id: int, targets: IngestSinks,
                                         batch_id, reason)
         rows = landing_rows(valid)
         lo, hi = rows.agg(F.min("order_date"), F.max("order_date")).first()
-        prune = "order_date" if targets.key_check == "pruned" else None
         # valid rows arrive unique per order id (stream dedup), so no second
-        # in-batch dedup: just the anti-join against already landed keys
-        landed = sinks.append_if_absent(spark, rows, targets.landing, ["order_id"],
-                                        prune_by=prune, dedup=False, target_exists=True,
-                                        bounds=(lo, hi), layout=_landing_layout(spark, lo, hi))
+        # in-batch dedup: just the anti-join against every landed key (an id
+        # may come again with another date)
+        landed = sinks.append_if_absent(spark, rows, targets.landing, ["order_id"], dedup=False,
+                                        target_exists=True, layout=_landing_layout(spark, lo, hi))
         log.info("batch %d: %d landed, %d dead-lettered", batch_id, landed["rows"], dead["rows"])
         return {"batch_id": batch_id, "landed": landed["rows"], "dead_letters": dead["rows"]}
     finally:

@@ -12,15 +12,16 @@ def _csv_sources(seed, root):
         files.write_csv(df, f"{root}/{n}")
 
 
-def test_daily_cli_gate_failure_and_success(spark, seed, tmp):
+def test_daily_cli_gate_failure_and_success(spark, seed, seed_landing, tmp):
     _csv_sources(seed, f"{tmp}/src")
+    seed_landing.write.parquet(f"{tmp}/landing")
     assert main(["daily", "--sources", f"{tmp}/src", "--warehouse", f"{tmp}/wh_fail"]) == 1
     for n, suite in RELAXED.items():
         with open(f"{tmp}/{n}_suite.json", "w") as f:
             json.dump({"expectations": [{"expectation_type": e.expectation_type, "kwargs": e.kwargs}
                                         for e in suite]}, f)
     assert main(["daily", "--sources", f"{tmp}/src", "--warehouse", f"{tmp}/wh",
-                 "--suites", tmp]) == 0
+                 "--suites", tmp, "--landing", f"{tmp}/landing"]) == 0
     fact = sinks.read_table(spark, sinks.file_target("f", f"{tmp}/wh/analytics/fact_orders"))
     assert fact.count() == 4
     assert len(Q.load_suite(f"{tmp}/orders_suite.json")) == len(RELAXED["orders"])
@@ -34,15 +35,16 @@ def test_stream_cli(spark, tmp):
     assert sorted(r.order_id for r in landed.collect()) == ["a", "b", "btg"]
 
 
-def test_daily_cli_with_jdbc_copy(spark, seed, tmp):
+def test_daily_cli_with_jdbc_copy(spark, seed, seed_landing, tmp):
     _csv_sources(seed, f"{tmp}/src")
+    seed_landing.write.parquet(f"{tmp}/landing")
     for n, suite in RELAXED.items():
         with open(f"{tmp}/{n}_suite.json", "w") as f:
             json.dump({"expectations": [{"expectation_type": e.expectation_type, "kwargs": e.kwargs}
                                         for e in suite]}, f)
     spark.sql("SELECT 1")  # session is shared with the CLI
     url = "jdbc:derby:memory:shopflow_cli;create=true"
-    rc = main(["daily", "--sources", f"{tmp}/src", "--warehouse", f"{tmp}/wh", "--suites", tmp,
+    rc = main(["daily", "--sources", f"{tmp}/src", "--warehouse", f"{tmp}/wh", "--suites", tmp, "--landing", f"{tmp}/landing",
                "--jdbc-url", url, "--jdbc-driver", "org.apache.derby.iapi.jdbc.AutoloadedDriver"])
     assert rc == 0
     t = sinks.jdbc_target("orders", url, "raw.orders", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from shopflow.operators import quality as Q
 from shopflow.plans import jobs
@@ -30,13 +31,34 @@ def test_gate_stops_before_load(spark, seed, tmp):
     assert not sinks.exists(spark, wh.target("raw.orders"))
 
 
-def test_failed_model_test_raises(spark, seed, tmp):
+def test_tests_without_their_relation_fail(spark, seed, tmp):
+    with pytest.raises(jobs.ModelTestError) as e:
+        jobs.run_daily(spark, seed, jobs.Warehouse(f"{tmp}/wh4"), suites=RELAXED)
+    assert len(e.value.failed) == 19
+    assert {f["relation"] for f in e.value.failed} == {"streaming.raw_orders_stream", "fact_orders_realtime"}
+
+
+def test_wider_reordered_and_narrower_files(spark, seed, tmp):
+    """Columns come by header name; a missing one fails its check."""
+    paths = SourcePaths(**{n: f"{tmp}/csv2/{n}" for n in ("orders", "customers", "products", "order_items")})
+    for n, df in seed.items():
+        files.write_csv(df.select(F.lit("x").alias("more"), *reversed(df.columns)), paths.path(n))
+    files.write_csv(seed["customers"].drop("customer_city"), paths.path("customers"))
+    back = files.read_sources(spark, paths)
+    assert sorted(map(tuple, back["order_items"].collect())) == sorted(map(tuple, seed["order_items"].collect()))
+    failed = Q.run_suites(back, RELAXED).filter("not success").collect()
+    assert {(r["dataset"], r["expectation"]) for r in failed} >= {("customers", "expect_column_to_exist")}
+    with pytest.raises(Q.QualityGateError):
+        Q.gate(Q.run_suites(back, RELAXED))
+
+
+def test_failed_model_test_raises(spark, seed, seed_landing, tmp):
     from shopflow import schemas
     seed = dict(seed)
     seed["order_items"] = seed["order_items"].unionByName(spark.createDataFrame(
         [("ord_999", 1, "prod_001", "seller_001", 1.0, "2.0")], schemas.RAW_ORDER_ITEMS))
     with pytest.raises(jobs.ModelTestError) as e:
-        jobs.run_daily(spark, seed, jobs.Warehouse(f"{tmp}/wh3"), suites=RELAXED)
+        jobs.run_daily(spark, seed, jobs.Warehouse(f"{tmp}/wh3"), suites=RELAXED, landing=seed_landing)
     assert {f["test_name"] for f in e.value.failed} == {"relationships", "no_orphan_items"}
 
 
@@ -71,7 +93,7 @@ def test_size_shuffles(spark):
     from shopflow.session import size_shuffles
     prev = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        assert size_shuffles(spark, 100 * 1024 ** 4) == 200_000      # capped
+        assert size_shuffles(spark, 100 * 1024 ** 4) == 819_200
         assert size_shuffles(spark, 10 * 1024 ** 4) == 81920
         assert size_shuffles(spark, 1024) == 200
         assert spark.conf.get("spark.sql.shuffle.partitions") == "200"

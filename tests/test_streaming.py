@@ -101,10 +101,11 @@ def test_parse_edge_cases(spark):
 
 
 def test_total_value_rounds_in_decimal(spark):
-    df = spark.createDataFrame([(1.005, 1), (2.67, 3), (0.1, 3)], "amount double, quantity int")
+    df = spark.createDataFrame([(1.005, 1), (2.67, 3), (0.1, 3), (0.125, 8), (1.234, 10), (1e25, 1), (float("inf"), 1)],
+                               "amount double, quantity int")
     from shopflow.functions.expressions import money_product
     got = [r.t for r in df.select(money_product(F.col("amount"), F.col("quantity")).alias("t")).collect()]
-    assert got == [1.01, 8.01, 0.3]   # 0.1 * 3 as a double is 0.30000000000000004
+    assert got == [1.01, 8.01, 0.3, 1.0, 12.34, None, None]   # 0.1 * 3 as a double is 0.30000000000000004
 
 
 def test_stream_and_batch_agree(spark, tmp):
@@ -140,19 +141,28 @@ def test_kafka_options():
                  "startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "1000"}
 
 
-def test_key_check_modes(spark, tmp):
-    """An order id reused by a different event on another date: the pruned
-    check lands it again (the landing table's unique test reports it); the
-    full check does not."""
+def test_redelivery_at_another_date_lands_once(spark, tmp):
     msgs = [[_msg("r", "00:00:00")], [_msg("r", "00:00:00").replace("2024-01-01", "2024-01-03")]]
-    for mode, expected in (("pruned", 2), ("full", 1)):
-        targets = ING.ingest_sinks(f"{tmp}/{mode}", key_check=mode)
-        sinks.ensure_exists(spark, targets.landing)
-        sinks.ensure_exists(spark, targets.dead_letter)
-        for i, batch in enumerate(msgs):
-            df = spark.createDataFrame([(m.encode(),) for m in batch], "value binary")
-            ING.process_batch(ING.deduplicated(ST.parse_orders(df)), i, targets)
-        assert sinks.read_table(spark, targets.landing).count() == expected, mode
+    targets = ING.ingest_sinks(f"{tmp}/redelivered")
+    sinks.ensure_exists(spark, targets.landing)
+    sinks.ensure_exists(spark, targets.dead_letter)
+    for i, batch in enumerate(msgs):
+        df = spark.createDataFrame([(m.encode(),) for m in batch], "value binary")
+        ING.process_batch(ING.deduplicated(ST.parse_orders(df)), i, targets)
+    assert sinks.read_table(spark, targets.landing).count() == 1
+
+
+def test_huge_and_infinite_amounts_are_dead_letters(spark, tmp):
+    big = [_msg(k, "00:00:00") for k in ("ok", "huge", "inf")]
+    df = spark.createDataFrame([(m.encode(),) for m in big], "value binary")
+    parsed = ST.parse_orders(df).withColumn("amount", F.when(F.col("order_id") == "huge", F.lit(1e25))
+                                            .when(F.col("order_id") == "inf", F.lit(float("inf")))
+                                            .otherwise(F.lit(1e13)))
+    targets = ING.ingest_sinks(f"{tmp}/big")
+    sinks.ensure_exists(spark, targets.landing)
+    sinks.ensure_exists(spark, targets.dead_letter)
+    got = ING.process_batch(ING.deduplicated(parsed), 0, targets)
+    assert (got["landed"], got["dead_letters"]) == (1, 2)
 
 
 def test_null_payloads_keyed_by_source_position(spark):
