@@ -250,8 +250,8 @@ def test_suite_results(spark, sf_dir):
 
 
 @register("test_no_orphan_items", O.with_ctes(
-    "SELECT oi.order_id, oi.order_item_id, oi.product_id FROM stg_order_items oi "
-    "LEFT JOIN stg_orders o ON oi.order_id = o.order_id WHERE o.order_id IS NULL",
+    "SELECT order_id, order_item_id, product_id FROM stg_order_items AS item "
+    "WHERE NOT EXISTS (SELECT 1 FROM stg_orders AS placed WHERE placed.order_id = item.order_id)",
     "stg_orders", "stg_order_items"))
 def test_no_orphan_items(spark, sf_dir):
     """The singular test's failing rows: items without a staged order."""

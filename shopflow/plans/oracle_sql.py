@@ -65,9 +65,9 @@ STAGING = {
 }
 
 MARTS = {
-    "fact_orders": "SELECT oi.order_id, o.customer_id, oi.product_id, oi.price, oi.freight_value, "
-                   "o.purchase_timestamp FROM stg_orders o INNER JOIN stg_order_items oi "
-                   "ON o.order_id = oi.order_id",
+    "fact_orders": "SELECT order_id, customer_id, product_id, price, freight_value, purchase_timestamp "
+                   "FROM stg_order_items JOIN (SELECT order_id, customer_id, purchase_timestamp FROM stg_orders) "
+                   "USING (order_id)",
     "dim_customers": "SELECT DISTINCT customer_id, customer_city, customer_state FROM stg_customers",
     "dim_products": "SELECT DISTINCT product_id, product_category FROM stg_products",
 }
@@ -243,8 +243,8 @@ def model_test_sql(t) -> str:
                 f"LEFT JOIN (SELECT {a['field']} AS to_field FROM {_rel(a['to'])}) p "
                 f"ON ch.from_field = p.to_field WHERE p.to_field IS NULL")
     elif t.test == "no_orphan_items":
-        fail = (f"SELECT count(*) AS f FROM {rel} oi LEFT JOIN {_rel(a['to'])} o "
-                f"ON oi.order_id = o.order_id WHERE o.order_id IS NULL")
+        fail = (f"SELECT count(*) AS f FROM {rel} AS item WHERE NOT EXISTS "
+                f"(SELECT 1 FROM {_rel(a['to'])} AS placed WHERE placed.order_id = item.order_id)")
     else:
         raise ValueError(t.test)
     col = f"'{c}'" if c else "CAST(NULL AS VARCHAR)"
