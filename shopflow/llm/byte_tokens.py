@@ -13,9 +13,12 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from shopflow.llm.gather import Segments, ragged
 
+RUN = 50  # unseen pieces in one running text: the library is slower on longer ones
 _RUN = re.compile(r"\s ")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -41,7 +44,7 @@ class ByteTokens:
         alone = [k for k, j in zip(keys, joins, strict=True) if not j]
         sets, sizes = [], np.zeros(len(keys), np.int64)
         if running:
-            chunks = ["".join(running[k:k + 2000]) for k in range(0, len(running), 2000)]
+            chunks = ["".join(running[k:k + RUN]) for k in range(0, len(running), RUN)]
             flat = np.concatenate([np.array(e.ids, np.int32) for e in
                                    self.library.encode_batch_fast(chunks, add_special_tokens=False)])
             ends = np.cumsum(np.fromiter((len(k.encode()) for k in running), np.int64, len(running)))
@@ -60,24 +63,44 @@ class ByteTokens:
             flat = flat[ragged(start[order], by[order])]
         return flat, sizes
 
-    def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, ``end`` after each text, and the number per text."""
-        keys, counts = [], np.zeros(len(texts), np.int64)
-        for k, t in enumerate(texts):
-            if not t:
-                continue
-            parts = _SAFE.split(t) if _RUN.search(t) else t.split(" ")
-            if not parts[0]:  # a leading space belongs to the next piece
-                parts = parts[1:]
-                keys += [" " + p for p in parts]
-            else:
-                keys.append(parts[0])
-                keys += [" " + p for p in parts[1:]]
-            counts[k] = len(parts)
-        flat, lens = self.cache.ids(keys)
-        ends = np.concatenate(([0], np.cumsum(lens)))[np.cumsum(counts)]
-        per = np.diff(ends, prepend=0)
-        return np.insert(flat, ends, end), per + 1
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, ``end`` after each text, and the number per text.  Arrow
+        cuts the texts and numbers their distinct pieces; Python sees each
+        distinct piece once."""
+        parts, of = _pieces(texts)
+        first = np.diff(of, prepend=-1) > 0
+        some = ~first | (pc.binary_length(parts).to_numpy(zero_copy_only=False) > 0)
+        coded, of, first = parts.filter(pa.array(some)).dictionary_encode(), of[some], first[some]
+        code = 2 * coded.indices.to_numpy().astype(np.int64) + first
+        present = np.flatnonzero(np.bincount(code, minlength=1))
+        names = coded.dictionary.to_pylist()
+        # the first piece of a text is alone; the others start with their space
+        flat, lens = self.cache.ids([names[c >> 1] if c & 1 else " " + names[c >> 1] for c in present.tolist()])
+        place = np.zeros(2 * len(names) + 2, np.int64)
+        place[present] = np.arange(len(present))
+        at = place[code]
+        per = lens[at]
+        flat = flat[ragged((np.cumsum(lens) - lens)[at], per)]
+        total = np.bincount(of, weights=per, minlength=len(texts)).astype(np.int64)
+        return np.insert(flat, np.cumsum(total), end), total + 1
+
+
+def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of all texts, without the space before them, and the text
+    of each.  A first piece that is empty (the text is, or it starts with a
+    space) has no ids."""
+    whole = [k for k, t in enumerate(texts.to_pylist()) if _RUN.search(t)]
+    split = pc.split_pattern(texts, " ")
+    of = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
+    parts = split.flatten()
+    if whole:
+        plain = ~np.isin(of, whole)
+        cut = [_SAFE.split(texts[k].as_py()) for k in whole]
+        of = np.concatenate([of[plain], np.repeat(np.array(whole), [len(c) for c in cut])])
+        parts = pa.concat_arrays([parts.filter(pa.array(plain)), pa.array([x for c in cut for x in c], parts.type)])
+        order = np.argsort(of, kind="stable")
+        of, parts = of[order], parts.take(pa.array(order))
+    return parts, of
 
 
 @lru_cache(maxsize=2)

@@ -33,11 +33,12 @@ class Segments:
         self.length = np.zeros(1 << 12, np.int64)
         self.used = 0
 
-    def ids(self, keys: list, seen: set | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def ids(self, keys: list) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all keys, concatenated, and their number per key."""
         if len(self.index) > self.entries or self.used > self.max_ids:
             self._reset()
-        new = [k for k in (seen or set(keys)) if k not in self.index]
+        at = list(map(self.index.get, keys))
+        new = list(dict.fromkeys(k for k, i in zip(keys, at, strict=True) if i is None))
         if new:
             flat, lens = self.encode_new(new)
             n0, n1 = len(self.index), len(self.index) + len(new)
@@ -48,7 +49,8 @@ class Segments:
             self.start[n0:n1] = self.used + np.cumsum(lens) - lens
             self.used += len(flat)
             self.index.update(zip(new, range(n0, n1)))
-        at = np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
+            at = [self.index[k] if i is None else i for k, i in zip(keys, at, strict=True)]
+        at = np.array(at, np.int64)
         length = self.length[at]
         return self.flat[ragged(self.start[at], length)], length
 

@@ -27,6 +27,7 @@ from shopflow.llm.gather import slices
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
+SLICE_BYTES = 8 << 20   # of text, encoded at a time
 FORMAT = {
     "compression": "zstd",
     "parquet.writer.version": "v2",
@@ -46,8 +47,8 @@ _SCHEMA = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("local_start
 def _encode(tokenizer: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, at = byte_tokens(tokenizer), TaskContext.get().partitionId(), 0
-        for b in slices(batches):
-            flat, n = enc.encode(b.column("text").to_pylist(), end)
+        for b in slices(batches, chars=SLICE_BYTES):
+            flat, n = enc.encode(b.column("text"), end)
             offsets = np.concatenate(([0], np.cumsum(n)))
             ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
