@@ -11,6 +11,7 @@ from __future__ import annotations
 import argparse
 import json
 import logging
+import os
 import sys
 
 from pyspark.sql import SparkSession
@@ -35,8 +36,10 @@ def cmd_daily(args) -> int:
     root = args.sources.rstrip("/")
     paths = SourcePaths(fmt=args.format, **{n: f"{root}/{n}" for n in
                                             ("orders", "customers", "products", "order_items")})
-    suites = ({n: Q.load_suite(f"{args.suites.rstrip('/')}/{n}_suite.json") for n in Q.SUITES}
-              if args.suites else Q.SUITES)
+    suites = Q.SUITES
+    if args.suites:  # the gate fails a dataset whose suite file is missing
+        named = {n: f"{args.suites.rstrip('/')}/{n}_suite.json" for n in Q.SUITES}
+        suites = {n: Q.load_suite(p) for n, p in named.items() if os.path.exists(p)}
     extra: dict = {}
     for table, name in RAW_TABLES.items():
         if args.jdbc_url:

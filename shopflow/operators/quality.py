@@ -177,13 +177,32 @@ def _row(dataset, idx, exp, column, element_count, unexpected, success, detail)
     )
 
 
+def _bad_arguments(spark: SparkSession, expectation: str, kw: dict) -> str | None:
+    """Why a check's arguments cannot work, before it joins the others in
+    one aggregate; None if they can."""
+    if expectation.endswith("in_set") and not isinstance(kw.get("value_set"), (list, tuple, set)):
+        return "value_set is not a list"
+    if expectation.endswith("match_regex"):
+        if not isinstance(kw.get("regex"), str):
+            return "regex is not text"
+        try:  # the pattern language of rlike
+            spark._jvm.java.util.regex.Pattern.compile(kw["regex"])
+        except Exception:
+            return f"regex {kw['regex']} is not valid"
+    for bound in ("min_value", "max_value"):
+        if not isinstance(kw.get(bound), (int, float, type(None))):
+            return f"{bound} is not a number"
+    return None
+
+
 def run_suite(df: DataFrame, dataset: str, suite: list[Expectation],
               only: set[str] | None = None) -> DataFrame:
     """All expectations of one dataset -> result rows (one per expectation).
 
-    A check that cannot run (unknown type, missing column) is a failed row
-    with a detail message; the other checks still run.  ``only`` restricts
-    the run to some expectation types (indices stay those of the suite).
+    A check that cannot run (unknown type, missing column, bad arguments) is
+    a failed row with a detail message; the other checks still run.  ``only``
+    restricts the run to some expectation types (indices stay those of the
+    suite).  A suite without checks is one passed row outside the count.
     """
     spark = df.sparkSession
     cols = set(df.columns)
@@ -200,8 +219,10 @@ def run_suite(df: DataFrame, dataset: str, suite: list[Expectation],
         elif t in SCHEMA_ONLY:
             ok = c in cols
             static.append((dataset, idx, t, c, None, None, ok, None if ok else f"column {c} not found"))
-        elif c is not None and c not in cols:
+        elif t not in TABLE_LEVEL and c not in cols:
             static.append((dataset, idx, t, c, None, None, False, f"ERROR: column {c} not found"))
+        elif (error := _bad_arguments(spark, t, kw)) is not None:
+            static.append((dataset, idx, t, c, None, None, False, f"ERROR: {error}"))
         elif t in TABLE_LEVEL:
             n = F.col("n__")
             fused.append(_row(dataset, idx, t, None, n, None,
@@ -218,6 +239,8 @@ def run_suite(df: DataFrame, dataset: str, suite: list[Expectation],
             name = f"u{idx}__"
             aggs.append(F.count_if(_ROW_RULES[t](F.col(c), kw)).alias(name))
             fused.append(_row(dataset, idx, t, c, F.col("n__"), F.col(name), F.col(name) == 0, None))
+    if not suite and only is None:
+        static.append((dataset, -1, "dataset", None, None, None, True, "suite is empty"))
     parts: list[DataFrame] = []
     if fused:
         parts.append(df.agg(*aggs).select(F.explode(F.array(*fused)).alias("r")).select("r.*"))

@@ -8,13 +8,11 @@ extra counting job).
 
 from __future__ import annotations
 
-import os
 import uuid
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 from pyspark.sql.types import StructType
 
 from shopflow.operators.clean import dedup_keep_first
@@ -135,14 +133,9 @@ def exists(spark: SparkSession, target: Target) -> bool:
         return spark.catalog.tableExists(target.location)
     if target.format in ("jdbc", "bigquery"):
         return True
-    loc = target.location
-    if loc.startswith("file:") or "://" not in loc:
-        return os.path.exists(loc[len("file:"):] if loc.startswith("file:") else loc)
-    try:  # remote file system: resolving the relation lists the folder
-        read_table(spark, target).schema
-        return True
-    except AnalysisException:
-        return False
+    # a path without a scheme is in the cluster's default file system
+    path = spark._jvm.org.apache.hadoop.fs.Path(target.location)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def ensure_exists(spark: SparkSession, target: Target) -> None:

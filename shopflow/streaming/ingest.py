@@ -36,6 +36,8 @@ TRIGGER_INTERVAL = "30 seconds"
 DEFAULT_TOPIC = "orders_stream"
 REJECT_REASON = "Failed data quality checks"
 
+FILES_PER_DATE = 4   # of a micro-batch, at most
+
 QUERY_NAME = "orders_stream_ingest"
 DEAD_LETTER_COLUMNS = ["raw_value", "source_position", "order_id", "customer_id", "product_id",
                        "amount", "quantity", "total_value", "event_time"]
@@ -138,17 +140,13 @@ def landing_rows(valid: DataFrame) -> DataFrame:
     return to_landing(valid).withColumn("order_date", F.to_date("event_time"))
 
 
-def _landing_layout(spark: SparkSession, lo, hi):
-    """Write layout for a micro-batch.  AQE (and so the rebalance hint) is
+def _landing_layout(rows: DataFrame) -> DataFrame:
+    """Write layout of every micro-batch.  AQE (and so the rebalance hint) is
     off inside micro-batches, and each write task would create one file per
-    date it holds.  A batch spanning more than two dates (a backfill) is
-    range-partitioned by (order_date, order_id): about one file per task
-    plus one per date, and a hot date still splits across tasks by order_id
-    ranges.  Live batches (one or two dates) are written as they come."""
-    if lo is None or (hi - lo).days < 2:
-        return None
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return lambda df: df.repartitionByRange(n, "order_date", "order_id")
+    date it holds.  Rows are dealt by date and a small hash of the order id:
+    at most ``FILES_PER_DATE`` files a date, a hot date split as often, and
+    nothing sampled."""
+    return rows.repartition("order_date", F.pmod(F.xxhash64("order_id"), F.lit(FILES_PER_DATE)))
 
 
 def process_batch(batch: DataFrame, batch_id: int, targets: IngestSinks,
@@ -171,13 +169,14 @@ def process_batch(batch: DataFrame, batch_id: int, targets: IngestSinks,
         bad = invalid.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
         dead = sinks.write_dead_letters(bad.select(*DEAD_LETTER_COLUMNS), targets.dead_letter,
                                         batch_id, reason)
-        rows = landing_rows(valid)
-        lo, hi = rows.agg(F.min("order_date"), F.max("order_date")).first()
+        # a database table has its own columns only, no partition column
+        files = targets.landing.format != "jdbc"
+        rows = landing_rows(valid) if files else to_landing(valid)
         # valid rows arrive unique per order id (stream dedup), so no second
         # in-batch dedup: just the anti-join against every landed key (an id
         # may come again with another date)
         landed = sinks.append_if_absent(spark, rows, targets.landing, ["order_id"], dedup=False,
-                                        target_exists=True, layout=_landing_layout(spark, lo, hi))
+                                        target_exists=True, layout=_landing_layout if files else None)
         log.info("batch %d: %d landed, %d dead-lettered", batch_id, landed["rows"], dead["rows"])
         return {"batch_id": batch_id, "landed": landed["rows"], "dead_letters": dead["rows"]}
     finally:
@@ -197,23 +196,33 @@ def start_ingest(messages: DataFrame, targets: IngestSinks, checkpoint: str,
     trigger; tests pass ``{"availableNow": True}``.  ``state_store="rocksdb"``
     keeps dedup state off the JVM heap (large key sets); like the number of
     state partitions (``state_partitions``: size it so each partition's key
-    set fits one task) it is fixed by the checkpoint's first start."""
+    set fits one task) it is fixed by the checkpoint's first start.  A query
+    takes a copy of the session's settings when it starts, so both are set
+    for the start only and other jobs of the session keep theirs."""
     spark = messages.sparkSession
-    if state_partitions is not None:
-        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    if state_store is not None:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORES[state_store])
     sinks.ensure_exists(spark, targets.landing)
     sinks.ensure_exists(spark, targets.dead_letter)
     plan = deduplicated(parsed_stream(messages), delay)
     trig = trigger or {"processingTime": TRIGGER_INTERVAL}
-    return (plan.writeStream
-                .outputMode("append")
-                .foreachBatch(lambda df, bid: process_batch(df, bid, targets))
-                .option("checkpointLocation", checkpoint)
-                .trigger(**trig)
-                .queryName(query_name)
-                .start())
+    own = {}
+    if state_partitions is not None:
+        own["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if state_store is not None:
+        own["spark.sql.streaming.stateStore.providerClass"] = STATE_STORES[state_store]
+    before = {k: spark.conf.get(k, None) for k in own}
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        return (plan.writeStream
+                    .outputMode("append")
+                    .foreachBatch(lambda df, bid: process_batch(df, bid, targets))
+                    .option("checkpointLocation", checkpoint)
+                    .trigger(**trig)
+                    .queryName(query_name)
+                    .start())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def run_available(messages: DataFrame, targets: IngestSinks, checkpoint: str,

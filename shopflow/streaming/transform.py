@@ -64,12 +64,6 @@ def split_valid(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
     return batch.filter(flag), batch.filter(~flag)
 
 
-def invalid_distinct(batch: DataFrame) -> DataFrame:
-    """EXCEPT DISTINCT form: ``batch - valid`` (identical bad rows collapse)."""
-    valid, _ = split_valid(batch)
-    return batch.subtract(valid)
-
-
 def to_landing(valid: DataFrame) -> DataFrame:
     """Landing-table shape: event time stored zone-less (UTC wall clock)."""
     return (valid.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
