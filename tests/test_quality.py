@@ -135,3 +135,15 @@ def test_no_sources_fails_every_dataset(spark):
     assert set(summ) == set(Q.SUITES) and not any(r.success for r in summ.values())
     with pytest.raises(Q.QualityGateError):
         Q.gate(res)
+
+
+def test_bad_arguments_fail_their_check_alone(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "c string")
+    suite = [Q.Expectation("expect_column_values_to_be_in_set", {"column": "c"}),
+             Q.Expectation("expect_column_values_to_match_regex", {"column": "c", "regex": "(["}),
+             Q.Expectation("expect_column_values_to_not_be_null", {}),
+             Q.Expectation("expect_column_values_to_not_be_null", {"column": "c"})]
+    got = {r["check_index"]: r["success"] for r in Q.run_suite(df, "d", suite).collect()}
+    assert got == {0: False, 1: False, 2: False, 3: True}
+    empty = Q.summarize(Q.run_suite(df, "d", [])).collect()
+    assert [(r["dataset"], r["total"], r["success"]) for r in empty] == [("d", 0, True)]
