@@ -19,7 +19,8 @@ from shopflow.operators.clean import CLEANERS
 from shopflow.plans import models as M
 from shopflow.session import work_dir
 from shopflow.sources import sinks
-from shopflow.tables import MART_MODELS, RAW_TABLES, STAGING_MODELS, model_schema
+from shopflow.tables import (MART_MODELS, RAW_TABLES, STAGING_MODELS, create_namespaces, model_schema,
+                             qualified)
 
 
 class ModelTestError(RuntimeError):
@@ -103,6 +104,29 @@ def run_models(spark: SparkSession, wh: Warehouse, landing: DataFrame | None = N
     return out
 
 
+def register(spark: SparkSession, wh: Warehouse, built: dict[str, DataFrame]) -> list[str]:
+    """Name the warehouse in the catalog: the raw tables and marts as external
+    tables over their folders, the staging views over the raw tables.  A name
+    of an earlier run moves to this warehouse (its files stay); a managed
+    table under such a name is somebody else's and stops the run."""
+    create_namespaces(spark)
+    names = [*RAW_TABLES.values(), *(qualified(m, model_schema(m)) for m in MART_MODELS if m in built)]
+    for name in names:
+        if spark.catalog.tableExists(name):
+            if spark.catalog.getTable(name).tableType != "EXTERNAL":
+                raise ValueError(f"{name} is already there and not a table over a folder")
+            spark.sql(f"DROP TABLE {name}")
+        t = wh.target(name)
+        spark.catalog.createTable(name, path=t.location, source=t.format)
+        if any(c.isPartition for c in spark.catalog.listColumns(name)):
+            spark.catalog.recoverPartitions(name)
+    views = [m for m in STAGING_MODELS if m in built]
+    for m in views:
+        sql = M.staging_sql(m, RAW_TABLES[M.STAGING[m][0]])
+        spark.sql(f"CREATE OR REPLACE VIEW {qualified(m, model_schema(m))} AS {sql}")
+    return names + [qualified(m, model_schema(m)) for m in views]
+
+
 def run_tests(spark: SparkSession, wh: Warehouse, built: dict[str, DataFrame],
               landing: DataFrame | None = None, tests=Q.MODEL_TESTS) -> DataFrame:
     rel = {f"raw.{k}": v for k, v in loaded_tables(spark, wh).items()}
@@ -122,14 +146,16 @@ def run_tests(spark: SparkSession, wh: Warehouse, built: dict[str, DataFrame],
 
 def run_daily(spark: SparkSession, sources: dict[str, DataFrame], wh: Warehouse | None = None,
               suites=Q.SUITES, landing: DataFrame | None = None) -> dict:
-    """validate -> load -> models -> tests; raises on the first failing step."""
+    """validate -> load -> models -> tests; raises on the first failing step.
+    The tables and views are named in the catalog before the tests run."""
     wh = wh or Warehouse(work_dir(spark, "warehouse"))
     summary = Q.gate(Q.run_suites(sources, suites))               # 1. source gate
     loads = run_batch(spark, sources, wh)                        # 2. clean + load
     built = run_models(spark, wh, landing)                       # 3. models
+    named = register(spark, wh, built)
     results = run_tests(spark, wh, built, landing)               # 4. model tests
     failed = [r.asDict() for r in results.filter(F.col("status") == "fail").collect()]
     if failed:
         raise ModelTestError(failed)
     return {"gate": summary, "loads": loads,
-            "models": sorted(built), "warehouse": wh.root}
+            "models": sorted(built), "relations": sorted(named), "warehouse": wh.root}

@@ -15,32 +15,38 @@ from shopflow.functions.expressions import hour_of
 
 # --- staging (materialised as views) --------------------------------------
 
-
-def stg_orders(raw_orders: DataFrame) -> DataFrame:
-    return (raw_orders
-            .filter(F.col("order_id").isNotNull())
-            .select("order_id", "customer_id", "order_status",
-                    F.col("order_purchase_timestamp").alias("purchase_timestamp"),
-                    F.col("order_delivered_customer_date").alias("delivered_timestamp"),
-                    F.col("order_estimated_delivery_date").alias("estimated_delivery_timestamp")))
-
-
-def stg_customers(raw_customers: DataFrame) -> DataFrame:
-    return (raw_customers
-            .filter(F.col("customer_id").isNotNull())
-            .select("customer_id", "customer_unique_id", "customer_city", "customer_state"))
+# Per view its raw table, the columns that must be there, and
+# output column -> raw column.
+STAGING = {
+    "stg_orders": ("orders", ("order_id",), {
+        "order_id": "order_id", "customer_id": "customer_id", "order_status": "order_status",
+        "purchase_timestamp": "order_purchase_timestamp",
+        "delivered_timestamp": "order_delivered_customer_date",
+        "estimated_delivery_timestamp": "order_estimated_delivery_date"}),
+    "stg_customers": ("customers", ("customer_id",), {
+        "customer_id": "customer_id", "customer_unique_id": "customer_unique_id",
+        "customer_city": "customer_city", "customer_state": "customer_state"}),
+    "stg_products": ("products", ("product_id",), {
+        "product_id": "product_id", "product_category": "product_category_name"}),
+    "stg_order_items": ("order_items", ("order_id", "product_id"), {
+        "order_id": "order_id", "order_item_id": "order_item_id", "product_id": "product_id",
+        "seller_id": "seller_id", "price": "price", "freight_value": "freight_value"}),
+}
 
 
-def stg_products(raw_products: DataFrame) -> DataFrame:
-    return (raw_products
-            .filter(F.col("product_id").isNotNull())
-            .select("product_id", F.col("product_category_name").alias("product_category")))
+def staged(name: str, raw: DataFrame) -> DataFrame:
+    """A staging view over its raw table."""
+    _, required, columns = STAGING[name]
+    return raw.dropna(how="any", subset=list(required)).select(
+        *[F.col(c).alias(out) for out, c in columns.items()])
 
 
-def stg_order_items(raw_order_items: DataFrame) -> DataFrame:
-    return (raw_order_items
-            .dropna(how="any", subset=["order_id", "product_id"])
-            .select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"))
+def staging_sql(name: str, relation: str) -> str:
+    """The same as a statement over a named relation (a catalog view keeps
+    text, not a plan)."""
+    _, required, columns = STAGING[name]
+    return (f"SELECT {', '.join(f'{c} AS {out}' for out, c in columns.items())} FROM {relation} "
+            f"WHERE {' AND '.join(f'{c} IS NOT NULL' for c in required)}")
 
 
 # --- marts (materialised as tables) ----------------------------------------
@@ -79,14 +85,6 @@ def fact_orders_realtime(landing: DataFrame) -> DataFrame:
                     hour_of(et).alias("order_hour")))
 
 
-STAGING = {
-    "stg_orders": (stg_orders, ("orders",)),
-    "stg_customers": (stg_customers, ("customers",)),
-    "stg_products": (stg_products, ("products",)),
-    "stg_order_items": (stg_order_items, ("order_items",)),
-}
-
-
 def build_models(raw: dict[str, DataFrame], landing: DataFrame | None = None,
                  only=None) -> dict[str, DataFrame]:
     """Models from the raw (loaded) tables and the landing table; ``only``
@@ -96,7 +94,7 @@ def build_models(raw: dict[str, DataFrame], landing: DataFrame | None = None,
     def wanted(*names):
         return want is None or any(n in want for n in names)
 
-    m = {name: fn(raw[src]) for name, (fn, (src,)) in STAGING.items()
+    m = {name: staged(name, raw[src]) for name, (src, _, _) in STAGING.items()
          if src in raw and wanted(name, *DOWNSTREAM.get(name, ()))}
     if wanted("fact_orders"):
         m["fact_orders"] = fact_orders(m["stg_orders"], m["stg_order_items"])

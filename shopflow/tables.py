@@ -26,9 +26,6 @@ STREAM_TABLE = "streaming.raw_orders_stream"
 STAGING_MODELS = ("stg_orders", "stg_customers", "stg_products", "stg_order_items")
 MART_MODELS = ("fact_orders", "dim_customers", "dim_products", "fact_orders_realtime")
 
-# Materialisation of each model layer: staging is a view, marts are tables.
-MATERIALIZATION = {"staging": "view", "analytics": "table"}
-
 
 def schema_name(custom_schema: str | None, default_schema: str) -> str:
     """Custom schema used verbatim (trimmed); otherwise the default."""

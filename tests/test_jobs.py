@@ -22,6 +22,42 @@ def test_daily_run_on_seed(spark, seed, seed_landing, tmp):
     assert sinks.read_table(spark, wh.target("analytics.fact_orders")).count() == 4
     assert sinks.read_table(spark, wh.target("analytics.fact_orders_realtime")).count() == 2
     assert spark.table("stg_orders").count() == 3
+    for name, model in (("analytics.fact_orders", "fact_orders"), ("staging.stg_products", "stg_products"),
+                        ("analytics.fact_orders_realtime", "fact_orders_realtime")):
+        assert name in report["relations"]
+        written = (spark.table("stg_products") if model.startswith("stg_")
+                   else sinks.read_table(spark, wh.target(name)))
+        assert sorted(map(tuple, spark.table(name).select(written.columns).collect()), key=str) == \
+            sorted(map(tuple, written.collect()), key=str) != []
+    again = jobs.Warehouse(f"{tmp}/wh_again")         # names move to the later run, files stay
+    jobs.run_daily(spark, {**seed, "products": seed["products"].limit(3)}, again, suites=RELAXED, landing=seed_landing)
+    assert spark.table("raw.orders").inputFiles()[0].find("/wh_again/raw/orders/") > 0
+    assert sinks.read_table(spark, wh.target("raw.orders")).count() == 3
+
+
+def test_missing_suite_file_fails_its_dataset(spark, seed, tmp):
+    suites = {n: s for n, s in RELAXED.items() if n != "customers"}
+    rows = {r["dataset"]: r for r in Q.summarize(Q.run_suites(seed, suites)).collect()}
+    assert rows["customers"]["success"] is False and rows["customers"]["total"] == 0
+    assert rows["orders"]["success"] is True
+    with pytest.raises(Q.QualityGateError):
+        jobs.run_daily(spark, seed, jobs.Warehouse(f"{tmp}/wh5"), suites=suites)
+
+
+@pytest.fixture()
+def managed(spark):
+    from shopflow.tables import create_namespaces
+    create_namespaces(spark)
+    spark.sql("DROP TABLE IF EXISTS raw.customers")
+    spark.sql("CREATE TABLE raw.customers (customer_id string) USING parquet")
+    yield "raw.customers"
+    spark.sql("DROP TABLE raw.customers")
+
+
+def test_managed_table_is_never_replaced(spark, seed, seed_landing, managed, tmp):
+    with pytest.raises(ValueError, match=managed):
+        jobs.run_daily(spark, seed, jobs.Warehouse(f"{tmp}/wh6"), suites=RELAXED, landing=seed_landing)
+    assert spark.catalog.getTable(managed).tableType == "MANAGED"
 
 
 def test_gate_stops_before_load(spark, seed, tmp):
