@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import fold, texts
+from shopflow.llm.common import fold, saved, texts
 from shopflow.llm.gather import slices
 
 FOLDS, HELD_OUT = 5, 0
@@ -108,6 +108,7 @@ def mine(sample: DataFrame) -> Voters:
                  pa.array([0 if r[0][2] else r[1] for r in rows], pa.int64())], names=["kind", "term", "bad", "good"])
     counts = (sample.mapInArrow(run, "kind int, term string, bad long, good long")
               .groupBy("kind", "term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")))
+    counts = saved(counts, "toxic-terms")  # read once per lexicon: the texts are gone through once
     total = counts.where("kind = -1").collect()
     bad, good = (total[0]["bad"], total[0]["good"]) if total else (0, 0)
     odds = (F.log((F.col("bad") + 0.5) / (bad + 1.0)) - F.log((F.col("good") + 0.5) / (good + 1.0)))
