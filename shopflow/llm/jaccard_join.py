@@ -29,10 +29,10 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import boxed, saved, shuffle_parts
+from shopflow.llm.common import SPACE_CHARS, boxed, saved, shuffle_parts
 from shopflow.llm.components import components
 from shopflow.llm.gather import cut, pack, slices, unpack
 
@@ -79,26 +79,33 @@ def shingle_sets(batch: list[str]) -> list[np.ndarray]:
 
 
 def members(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``key`` (64-bit hash of the set; null if empty),
-    ``n_shingles`` of every row."""
+    """``doc_id``, ``tie`` (hash of the text), ``key`` (64-bit hash of the
+    set; null if empty), ``n_shingles`` of every row."""
     def run(batches):
         for b in slices(batches):
             sets = shingle_sets(b.column("text").to_pylist())
             keys = [int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(keys, pa.int64()),
-                                              pa.array([len(s) for s in sets], pa.int64())], names=["doc_id", "key", "n_shingles"])
-    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
-    return docs.select("doc_id", text).mapInArrow(run, "doc_id long, key long, n_shingles long")
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tie"), pa.array(keys, pa.int64()),
+                                              pa.array([len(s) for s in sets], pa.int64())], names=["doc_id", "tie", "key", "n_shingles"])
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("tie")).mapInArrow(
+        run, "doc_id long, tie long, key long, n_shingles long")
+
+
+def _first() -> Column:
+    """Of a group's rows the smallest doc_id (null: largest), then text hash."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie"))
 
 
 def _representatives(docs: DataFrame, every: DataFrame) -> DataFrame:
     """``key`` and ``text`` of one row per class."""
-    one = every.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("_d"))
-    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
-    if 24 * one.count() <= BROADCAST_BYTES:
+    one = every.where("key is not null").groupBy("key").agg(_first().alias("x")).select(
+        "key", F.col("x.doc_id").alias("_d"), F.col("x.tie").alias("_t"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    if 32 * one.count() <= BROADCAST_BYTES:
         one = F.broadcast(one)
-    # a repeated doc_id meets several classes; the task keeps the one it has
-    return docs.select("doc_id", text).join(one, F.col("doc_id").eqNullSafe(F.col("_d"))).select("key", "text")
+    on = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_t"))
+    return docs.select("doc_id", text.alias("text")).join(one, on).select("key", "text")
 
 
 # -- shared shingles ---------------------------------------------------------
@@ -335,6 +342,22 @@ def _compare(t: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([p for p, _ in links], pa.int64()), "b": pa.array([q for _, q in links], pa.int64())})
 
 
+def _rooted(spark: SparkSession, docs: DataFrame, buckets: int | None = None) -> DataFrame:
+    """``members`` with the ``root`` of each row's component, a class key;
+    null without shingles."""
+    buckets = min(buckets or shuffle_parts(spark), 1 << 14)
+    every = saved(members(docs), "members")
+    sets = saved(
+        _representatives(docs, every).mapInArrow(_shingles(buckets), PACKED)
+        .groupBy("bucket").applyInArrow(_shared(buckets), PACKED)
+        .groupBy("bucket").applyInArrow(_survivors, "key long, n long, shared array<long>, df array<long>"), "shared")
+    found = links(sets)
+    if found is None:
+        return every.withColumn("root", F.col("key"))
+    joined = every.join(found.select(F.col("node").alias("key"), "root"), "key", "left")
+    return joined.withColumn("root", F.coalesce("root", "key"))
+
+
 def jaccard_join(spark: SparkSession, docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``,
     ``component_id`` (smallest doc_id reachable by links, itself included).
@@ -344,28 +367,19 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, buckets: int | None = Non
     and the component of null ids alone is null.  An empty table gives an
     empty result.
     """
-    buckets = min(buckets or shuffle_parts(spark), 1 << 14)
-    every = saved(members(docs), "members")
-    sets = saved(
-        _representatives(docs, every).mapInArrow(_shingles(buckets), PACKED)
-        .groupBy("bucket").applyInArrow(_shared(buckets), PACKED)
-        .groupBy("bucket").applyInArrow(_survivors, "key long, n long, shared array<long>, df array<long>"), "shared")
-    found = links(sets)
-    root = F.col("key")
-    joined = every
-    if found is not None:
-        joined = every.join(found.select(F.col("node").alias("key"), "root"), "key", "left")
-        root = F.coalesce("root", "key")
-    joined = joined.withColumn("root", root)
+    joined = _rooted(spark, docs, buckets)
     low = joined.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("low"))
     return joined.join(low, "root", "left").select(
         "doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("low")).alias("component_id"))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component; of
-    rows that repeat an id, one."""
-    ids = jaccard_join(spark, docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_id")).distinct()
-    rows = boxed(docs, "doc_id").join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return rows.dropDuplicates(["doc_id"]).select("_row.*")
+    """One row of each component, by doc_id (null: largest), then by a hash
+    of the text; every row without shingles stays."""
+    first = _rooted(spark, docs).where("root is not null").groupBy("root").agg(_first().alias("x")).select(
+        F.col("x.doc_id").alias("_id"), F.col("x.tie").alias("_t"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = boxed(docs, "doc_id", F.xxhash64(text).alias("_tie"), (F.translate(text, SPACE_CHARS, "") == "").alias("_bare"))
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_t"))
+    kept = rows.where("not _bare").join(first, on, "left_semi").dropDuplicates(["doc_id", "_tie"])
+    return kept.unionByName(rows.where("_bare")).select("_row.*")
