@@ -247,6 +247,30 @@ def test_toxicity(spark):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def test_toxicity_mines_all_labelled_rows(spark, monkeypatch):
+    """A term in few of many labelled texts, and the last of many terms, count."""
+    import itertools
+    n = 30_000
+    train = spark.range(n).where(F.crc32(F.col("id").cast("string").cast("binary")) % 5 != 0)
+    last = [r["id"] for r in train.orderBy(F.desc(F.xxhash64("id"))).limit(6).collect()]  # outside any sample by hash
+    rare = ["".join(c) for c in itertools.islice(itertools.product("qxzvkwjp", repeat=4), 4090)]
+    text = {i: "plain words of no harm" + " and so" * (i % 3) for i in range(n)}
+    for i in last[:3]:
+        text[i] += " zorb"
+    for i in last[3:]:
+        text[i] += " " + " ".join(rare)
+    rows = list(text.items()) + [(n, "one zorb"), (n + 1, f"one {rare[-1]}"), (n + 2, "one word")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    labels = spark.createDataFrame([(i, int(i in last)) for i in range(n)], "doc_id long, toxic int")
+    runs = []
+    for bound in (TX.BROADCAST_BYTES if hasattr(TX, "BROADCAST_BYTES") else 0, 0):
+        monkeypatch.setattr(TX, "BROADCAST_BYTES", bound, raising=False)
+        got = {r["doc_id"]: r["score"] for r in TX.toxicity(spark, docs, labels).collect()}
+        assert got[n] > got[n + 2] and got[n + 1] > got[n + 2]
+        runs.append(got)
+    assert len(runs[0]) == n + 3 and all(math.isclose(runs[0][i], runs[1][i], rel_tol=1e-9) for i in runs[0])
+
+
 def test_label_model_learns_accuracies_without_labels():
     import numpy as np
     rnd = np.random.default_rng(0)
