@@ -20,6 +20,11 @@ that also starts earlier in the corpus.
 Within a task, anchors that repeat, and whole equal surroundings, are
 settled before the shuffle, so of a passage that a third of all documents
 hold, one copy per task moves.
+
+An anchor with more records than a block can hold (a line shorter than
+``LENGTH`` in very many contexts) has no bucket of its own: its windows move
+one by one, by a 128-bit hash of their bytes, the first of equals in a task
+only, so that its contexts spread over all buckets.
 """
 
 from __future__ import annotations
@@ -30,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,7 +125,7 @@ def _rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 
 PACKED = "bucket int, kind int, blob binary"
-TO_SORT, TO_DOCS = 0, 1
+TO_SORT, TO_DOCS, HOT, WINDOWS = 0, 1, 2, 3
 
 
 def doc_bucket(doc: np.ndarray, buckets: int) -> np.ndarray:
@@ -134,6 +140,7 @@ def _to_docs(buckets: int, doc: np.ndarray, *more: np.ndarray) -> list[tuple[int
 
 
 def _hash_bucket(h: np.ndarray, buckets: int) -> np.ndarray:
+    h = h * np.uint64(0x9E3779B97F4A7C15)  # anchors are smallest hashes: most have the same first bits
     return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
@@ -149,9 +156,13 @@ def _anchor_records(buckets: int):
             new = np.concatenate(([True], h[1:] != h[:-1]))
             twice = ~new | ~np.append(new[1:], True)  # repeats inside this task
             rows = _to_docs(buckets, doc[twice], tie[twice], pos[twice])
-            h, doc, tie, pos, known = h[new], doc[new], tie[new], pos[new], twice[new]
-            for k, s in cut(_hash_bucket(h, buckets), buckets):
-                rows.append((k, TO_SORT, pack(h[s], doc[s], tie[s], pos[s].astype(np.uint32), known[s])))
+            times = np.diff(np.append(np.flatnonzero(new), len(h)))
+            h, doc, tie, pos = h[new], doc[new], tie[new], pos[new]
+            bucket = _hash_bucket(h, buckets)
+            order = np.argsort(bucket, kind="stable")
+            h, doc, tie, pos, times = (a[order] for a in (h, doc, tie, pos, times))
+            for k, s in cut(bucket[order], buckets):
+                rows.append((k, TO_SORT, pack(h[s], doc[s], tie[s], pos[s].astype(np.uint32), times[s])))
             return _rows(rows)
         for b in slices(batches):
             doc, tie = _ids(b)
@@ -167,38 +178,47 @@ def _anchor_records(buckets: int):
     return run
 
 
-def _repeated(buckets: int):
+def _repeated(buckets: int, most: int):
+    """Places of the anchors that occur twice; those that occur more than
+    ``most`` times."""
     def run(t: pa.Table) -> pa.Table:
         out = [(r["bucket"], TO_DOCS, r["blob"]) for r in t.filter(pc.equal(t.column("kind"), TO_DOCS)).to_pylist()]
-        parts = [unpack(x, np.uint64, np.int64, np.int64, np.uint32, bool) for x in
+        parts = [unpack(x, np.uint64, np.int64, np.int64, np.uint32, np.int64) for x in
                  t.filter(pc.equal(t.column("kind"), TO_SORT)).column("blob").to_pylist()]
         if parts:
-            h, doc, tie, pos, known = (np.concatenate(x) for x in zip(*parts, strict=True))
+            h, doc, tie, pos, times = (np.concatenate(x) for x in zip(*parts, strict=True))
             order = np.argsort(h, kind="stable")
             h = h[order]
             new = np.concatenate(([True], h[1:] != h[:-1]))
+            hot = h[new][np.add.reduceat(times[order], np.flatnonzero(new)) > most]
+            if len(hot):
+                out.append((t.column("bucket")[0].as_py(), HOT, hot.tobytes()))
             twice = order[~new | ~np.append(new[1:], True)]
-            twice = twice[~known[twice]]  # the known ones are with their documents
+            twice = twice[times[twice] == 1]  # the others are with their documents
             out += _to_docs(buckets, doc[twice], tie[twice], pos[twice].astype(np.int64))
         return pa.Table.from_batches([_rows(out)])
     return run
 
 
 def _per_doc(name: str, merge):
-    """Records of a bucket of documents: one row per document."""
+    """Records of a bucket of documents: one row per document; hot anchors
+    are handed on."""
     def run(t: pa.Table) -> pa.Table:
-        parts = [unpack(x, *[np.int64] * 3) if name == "pos" else unpack(x, *[np.int64] * 4)
-                 for x in t.column("blob").to_pylist()]
-        cols = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        hot = t.filter(pc.equal(t.column("kind"), HOT)).column("blob").to_pylist()
+        kinds = [np.int64] * (3 if name == "pos" else 4)
+        parts = [unpack(x, *kinds) for x in t.filter(pc.equal(t.column("kind"), TO_DOCS)).column("blob").to_pylist()]
+        cols = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * len(kinds)
         order = np.lexsort(cols[::-1])
         cols = [c[order] for c in cols]
         doc, tie = cols[:2]
         edge = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1])))) if len(doc) else []
         rows = [(int(doc[a]), int(tie[a]), merge(*(c[a:b] for c in cols[2:])))
                 for a, b in zip(edge, [*edge[1:], len(doc)], strict=True)]
-        return pa.table({"doc_id": pa.array([None if r[0] == _LAST else r[0] for r in rows], pa.int64()),
-                         "tie": pa.array([r[1] for r in rows], pa.int64()),
-                         name: pa.array([r[2] for r in rows], pa.binary())})
+        none = [None] * len(hot)
+        return pa.table({"doc_id": pa.array([None if r[0] == _LAST else r[0] for r in rows] + none, pa.int64()),
+                         "tie": pa.array([r[1] for r in rows] + none, pa.int64()),
+                         name: pa.array([r[2] for r in rows] + none, pa.binary()),
+                         "hot": pa.array([None] * len(rows) + hot, pa.binary())})
     return run
 
 
@@ -211,25 +231,46 @@ def _merged(start: np.ndarray, stop: np.ndarray) -> bytes:
 
 
 # -- suffix buckets ----------------------------------------------------------
-def _surroundings(buckets: int):
+def _surroundings(buckets: int, hot: np.ndarray):
+    """``hot``: hashes of the anchors whose windows move one by one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, tuple] = {}
+        windows: dict[bytes, tuple] = {}
         settled: list[tuple] = []
         size = 0
 
         def flush():
             rows = _to_docs(buckets, *(np.array(x, np.int64) for x in zip(*settled, strict=True))) if settled else []
             settled.clear()
-            keys = sorted(held, key=lambda k: k[0])
+            keys = list(held)
+            bucket = _hash_bucket(np.array([k[0] for k in keys], np.uint64), buckets)
+            order = np.argsort(bucket, kind="stable")
+            keys = [keys[k] for k in order]
             h = np.array([k[0] for k in keys], np.uint64)
             off = np.array([k[1] for k in keys], np.int64)
             doc, tie, lo = (np.array([held[k][j] for k in keys], np.int64) for j in range(3))
             n = np.array([len(k[2]) for k in keys], np.int64)
-            for k, s in cut(_hash_bucket(h, buckets), buckets):
+            for k, s in cut(bucket[order], buckets):
                 raw = np.frombuffer(b"".join(x[2] for x in keys[s]), np.uint8)
                 rows.append((k, TO_SORT, pack(h[s], off[s], doc[s], tie[s], lo[s], n[s], raw)))
             held.clear()
+            if windows:
+                key = np.frombuffer(b"".join(windows), np.uint64).reshape(-1, 2)
+                at = np.array(list(windows.values()), np.int64)
+                bucket = _hash_bucket(key[:, 0], buckets)
+                order = np.argsort(bucket, kind="stable")
+                key, at = key[order], at[order]
+                for k, s in cut(bucket[order], buckets):
+                    rows.append((k, WINDOWS, pack(key[s, 0], key[s, 1], at[s, 0], at[s, 1], at[s, 2])))
+                windows.clear()
             return _rows(rows)
+
+        def first(found: dict, key, at: tuple) -> tuple | None:
+            """Hold the first place of equals; the other one, if it goes."""
+            old = found.setdefault(key, at)
+            if at < old:  # the earlier one stays
+                found[key], at, old = at, old, at
+            return at if at > old else None
         for b in slices(batches):
             doc, tie = _ids(b)
             wanted = [np.frombuffer(x, np.int64) for x in b.column("pos").to_pylist()]
@@ -241,23 +282,33 @@ def _surroundings(buckets: int):
                 edge = np.searchsorted(k, np.arange(len(start) + 1))
                 pick = np.concatenate([a + np.flatnonzero(np.isin(pos[a:z] - start[j], wanted[row[j]]))
                                        for j, (a, z) in enumerate(zip(edge, edge[1:])) if z > a])
-                for p, g, x, y, j in zip(pos[pick].tolist(), h[pick].tolist(), lo[pick].tolist(), hi[pick].tolist(),
-                                         k[pick].tolist(), strict=True):
-                    key = (g, p - x, raw[x:y + LENGTH])
+                for p, g, x, y, j, many in zip(pos[pick].tolist(), h[pick].tolist(), lo[pick].tolist(), hi[pick].tolist(),
+                                               k[pick].tolist(), np.isin(h[pick], hot).tolist(), strict=True):
                     at = (int(doc[row[j]]), int(tie[row[j]]), x - int(start[j]))
-                    old = held.get(key)
-                    if old is None:
-                        held[key] = at
-                        size += y - x + LENGTH + 200
+                    if many:
+                        before = len(windows)
+                        run_of: tuple | None = None  # windows of this record that go, one after the other
+                        for w in range(x, y + 1):
+                            gone = first(windows, xxhash.xxh3_128_digest(raw[w:w + LENGTH]), (*at[:2], at[2] + w - x))
+                            if run_of and gone and gone == (*run_of[:2], run_of[3] - LENGTH + 1):
+                                run_of = (*run_of[:3], run_of[3] + 1)
+                            elif gone:
+                                if run_of:
+                                    settled.append(run_of)
+                                run_of = (*gone, gone[2] + LENGTH)
+                        if run_of:
+                            settled.append(run_of)
+                        size += 300 * (len(windows) - before)
                         continue
-                    if at < old:  # the earlier one stays
-                        held[key], at = at, old
-                    if at[:2] != held[key][:2] or at[2] > held[key][2]:
-                        settled.append((*at, at[2] + y - x + LENGTH))
+                    before = len(held)
+                    gone = first(held, (g, p - x, raw[x:y + LENGTH]), at)
+                    if gone:
+                        settled.append((*gone, gone[2] + y - x + LENGTH))
+                    size += (len(held) - before) * (y - x + LENGTH + 200)
             if size > HELD or len(settled) > 500_000:
                 yield flush()
                 size = 0
-        if held or settled:
+        if held or settled or windows:
             yield flush()
     return run
 
@@ -317,9 +368,25 @@ def _ranks(text: np.ndarray) -> np.ndarray:
     return np.unique(words, return_inverse=True)[1]
 
 
+def _windows(blobs: list[bytes]) -> list[np.ndarray]:
+    """The spans of the windows that equal an earlier one."""
+    one, two, doc, tie, lo = (np.concatenate(x) for x in zip(
+        *(unpack(x, np.uint64, np.uint64, *[np.int64] * 3) for x in blobs), strict=True))
+    order = np.lexsort((lo, tie, doc, two, one))
+    one, two, doc, tie, lo = (a[order] for a in (one, two, doc, tie, lo))
+    new = np.concatenate(([True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])))
+    head = np.flatnonzero(new)[np.cumsum(new) - 1]
+    # rows that repeat an id and its text do not remove each other
+    gone = (doc != doc[head]) | (tie != tie[head]) | (lo != lo[head])
+    return [doc[gone], tie[gone], lo[gone], lo[gone] + LENGTH]
+
+
 def _sorted_buckets(buckets: int, block: int):
     def run(t: pa.Table) -> pa.Table:
         out = [(r["bucket"], TO_DOCS, r["blob"]) for r in t.filter(pc.equal(t.column("kind"), TO_DOCS)).to_pylist()]
+        windows = t.filter(pc.equal(t.column("kind"), WINDOWS)).column("blob").to_pylist()
+        if windows:
+            out += _to_docs(buckets, *_windows(windows))
         parts = [unpack(x, np.uint64, *[np.int64] * 5, np.uint8) for x in
                  t.filter(pc.equal(t.column("kind"), TO_SORT)).column("blob").to_pylist()]
         if parts:
@@ -365,15 +432,19 @@ def removed_spans(spark: SparkSession, docs: DataFrame, buckets: int | None = No
     lose bytes."""
     buckets = buckets or shuffle_parts(spark)
     keyed = _keyed(docs)
-    places = saved(
+    found = saved(
         keyed.mapInArrow(_anchor_records(buckets), PACKED)
-        .groupBy("bucket").applyInArrow(_repeated(buckets), PACKED)
-        .groupBy("bucket").applyInArrow(_per_doc("pos", lambda p: p.tobytes()), "doc_id long, tie long, pos binary"),
+        .groupBy("bucket").applyInArrow(_repeated(buckets, block // SPAN), PACKED)
+        .groupBy("bucket").applyInArrow(_per_doc("pos", lambda p: p.tobytes()), "doc_id long, tie long, pos binary, hot binary"),
         "anchors")
+    # one in block // SPAN of the repeated anchors at most
+    hot = np.frombuffer(b"".join(r["hot"] for r in found.where("hot is not null").select("hot").collect()), np.uint64)
+    places = found.where("hot is null").drop("hot")
     return saved(
-        _join(keyed, places, "pos", "inner").mapInArrow(_surroundings(buckets), PACKED)
+        _join(keyed, places, "pos", "inner").mapInArrow(_surroundings(buckets, hot), PACKED)
         .groupBy("bucket").applyInArrow(_sorted_buckets(buckets, block), PACKED)
-        .groupBy("bucket").applyInArrow(_per_doc("spans", _merged), "doc_id long, tie long, spans binary"),
+        .groupBy("bucket").applyInArrow(_per_doc("spans", _merged), "doc_id long, tie long, spans binary, hot binary")
+        .drop("hot"),
         "spans")
 
 

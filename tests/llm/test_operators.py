@@ -196,6 +196,35 @@ def test_suffix_dedup(spark, docs, buckets, block):
     assert total > 1000
 
 
+def test_suffix_dedup_keeps_its_block_with_a_frequent_line(spark, monkeypatch):
+    """A line shorter than LENGTH in many contexts is no block of its own."""
+    block, real = 3000, SD._block
+
+    def bounded(h, off, doc, tie, lo, n, raw, at):
+        assert int((n - 99).sum()) <= block
+        return real(h, off, doc, tie, lo, n, raw, at)
+    monkeypatch.setattr(SD, "_block", bounded)
+    rnd = random.Random(5)
+    text = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    line, passage = "terms of use: a line that comes in every document, ok", text(150)
+    rows = [(i, f"{text(90)} {line} {text(90)}") for i in range(400)]
+    rows += [(400 + i, f"{text(20)}{line}{passage}") for i in range(5)] + [(1, rows[7][1]), (1, rows[7][1]), (None, rows[9][1])]
+    got = {(r["doc_id"], r["n_bytes"], r["kept_sha256"]): r["n_removed"]
+           for r in SD.suffix_dedup(spark, frame(spark, rows).repartition(6), 3, block).collect()}
+    size = lambda i, t: next(n for (d, b, _), n in got.items() if d == i and b == len(t))
+    assert [got[i, len(t), hashlib.sha256(t.encode()).hexdigest()] for i, t in rows[:400] if i not in (1, 7, 9)] == [0] * 397
+    assert [size(400 + i, rows[400 + i][1]) for i in range(5)] == [0] + [len(line) + 150] * 4
+    assert size(7, rows[7][1]) == len(rows[7][1]) and size(9, rows[9][1]) == 0 and size(None, rows[9][1]) == len(rows[9][1])
+    assert [n for (d, _, _), n in got.items() if d == 1] == [0, 0]  # its own text and the copies of one id and text
+
+
+def test_anchors_spread_over_the_buckets():
+    import numpy as np
+    b = np.random.default_rng(0).integers(97, 123, 200_000).astype(np.uint8)
+    share = np.bincount(SD._hash_bucket(SD.anchors(b, np.array([len(b)]))[1], 12), minlength=12) / 200_000 * 35
+    assert share.max() < 2 * share.min()
+
+
 def test_suffix_dedup_of_long_pieces(spark, monkeypatch):
     monkeypatch.setattr(SD, "_PIECE", 500)
     rnd = random.Random(1)
