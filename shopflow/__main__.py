@@ -17,6 +17,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from shopflow.session import configure
+from shopflow.tables import STREAM_TABLE
 
 
 def _session(app: str) -> SparkSession:
@@ -68,10 +69,17 @@ def cmd_stream(args) -> int:
         messages = ING.kafka_source(spark, args.kafka, args.topic)
     else:
         messages = ING.json_file_source(spark, args.files)
-    targets = ING.ingest_sinks(args.output)
+    landing = None
+    if args.jdbc_url:
+        from shopflow.sources import sinks
+        landing = sinks.jdbc_target("raw_orders_stream", args.jdbc_url, args.jdbc_table, user=args.jdbc_user,
+                                    password=args.jdbc_password, driver=args.jdbc_driver,
+                                    num_partitions=args.jdbc_partitions)
+    targets = ING.ingest_sinks(args.output, arrivals=args.keep_late, landing=landing)
     trigger = {"availableNow": True} if args.available_now else None
     q = ING.start_ingest(messages, targets, args.checkpoint, trigger,
-                         state_store=args.state_store, state_partitions=args.state_partitions)
+                         state_store=args.state_store, state_partitions=args.state_partitions,
+                         **({"state_buckets": args.state_buckets} if args.state_buckets else {}))
     q.awaitTermination()
     return 0 if q.exception() is None else 1
 
@@ -105,8 +113,17 @@ def main(argv=None) -> int:
     s.add_argument("--output", required=True, help="root of the landing and dead-letter tables")
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+    s.add_argument("--keep-late", action="store_true",
+                   help="keep late and repeated rows in tables of their own instead of dropping them")
+    s.add_argument("--jdbc-url", help="land valid rows in this database's table (conditional append, once a batch)")
+    s.add_argument("--jdbc-table", default=STREAM_TABLE, help="the table, created beforehand with its key")
+    s.add_argument("--jdbc-user")
+    s.add_argument("--jdbc-password")
+    s.add_argument("--jdbc-driver")
+    s.add_argument("--jdbc-partitions", type=int, help="max concurrent connections")
     s.add_argument("--state-store", choices=["rocksdb"])
     s.add_argument("--state-partitions", type=int)
+    s.add_argument("--state-buckets", type=int, help="with --keep-late: groups of keys that share a state row")
     s.set_defaults(fn=cmd_stream)
     args = p.parse_args(argv)
     return args.fn(args)

@@ -16,6 +16,7 @@ from shopflow.plans import models as M
 from shopflow.plans import oracle_sql as O
 from shopflow.schemas import RAW_CUSTOMERS
 from shopflow.session import work_dir
+from shopflow.sources import dead_letters as DL
 from shopflow.sources import feeds, files, sinks
 from shopflow.streaming import ingest as ING
 from shopflow.streaming import transform as ST
@@ -390,6 +391,42 @@ def dlq_envelope(spark, sf_dir):
     return sinks.dead_letter_envelopes(dead).select("batch_id", "reason", "record_count")
 
 
+DOCUMENT_BYTES = 64 << 10   # of the registered query; the writer's default is larger
+
+
+@register("dlq_documents", O.dlq_documents_sql(DOCUMENT_BYTES, DL.OVERHEAD))
+def dlq_documents(spark, sf_dir):
+    """Dead-letter documents of bounded size, written as files and read
+    back: each with its records, told here by a digest of their payloads."""
+    t = ingest_run(spark, sf_dir)
+    path = work_dir(spark, "dead_letter_documents")
+    DL.write_documents(sinks.read_table(spark, t.dead_letter), path, DOCUMENT_BYTES)
+    docs = DL.read_documents(spark, path, "struct<raw_value: string>")
+    payload = F.array_join(F.transform("records", lambda r: r["raw_value"]), "\n")
+    return docs.select("batch_id", "reason", "part", "record_count", F.md5(payload).alias("payload_md5"))
+
+
+@register("stream_late_drop", O.STREAM_LATE)
+def stream_late_drop(spark, sf_dir):
+    """The event stream in three waves with delayed and repeated deliveries:
+    every message ends in exactly one of the landing, dead-letter, repeat
+    and late tables."""
+    root = work_dir(spark, "waves")
+    targets = ING.ingest_sinks(root, arrivals=True)
+    events = feeds.event_waves(feeds.read_table(spark, sf_dir, "events"))
+    for wave in range(feeds.WAVES):
+        feeds.order_messages(events.where(F.col("wave") == wave)).write.mode("append").parquet(f"{root}/messages")
+        arriving = spark.readStream.schema("value binary").parquet(f"{root}/messages")
+        ING.run_available(arriving, targets, f"{root}/_checkpoint")
+    out = None
+    for target, outcome in ((targets.landing, "landed"), (targets.dead_letter, "dead letter"),
+                            (targets.repeats, "repeat"), (targets.late, "late")):
+        rows = sinks.read_table(spark, target).select(
+            "order_id", "customer_id", "product_id", "amount", "quantity", "event_time", F.lit(outcome).alias("outcome"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @register("fact_orders_realtime", O.REALTIME_NO_PT)
 def fact_orders_realtime(spark, sf_dir):
     """Realtime mart over the streamed landing table (processing_time, a

@@ -9,6 +9,8 @@ restated here in plain SQL.
 from __future__ import annotations
 
 from shopflow.sources.feeds import (
+    EVENT_AGAIN,
+    EVENT_DELAYED,
     EVENT_FIELDS,
     EVENT_NO_TIME,
     EVENT_NOT_JSON,
@@ -100,6 +102,14 @@ LANDING = (f"SELECT order_id, customer_id, product_id, amount, quantity, total_v
            f"FROM parsed WHERE {VALID} AND delivery_attempt = 1")
 
 
+# deliveries in waves of ten days (see feeds.event_waves)
+WAVES = (f"SELECT event_id, unnest(CASE WHEN {EVENT_AGAIN} AND w < 2 THEN [w, w + 1] ELSE [w] END) AS wave FROM ("
+         f"SELECT event_id, own + CASE WHEN {EVENT_DELAYED} AND own < 2 THEN 1 ELSE 0 END AS w FROM ("
+         "SELECT event_id, least(2, (day(ts) - 1) // 10) AS own FROM events) o) f")
+DELIVERIES = ("SELECT *, coalesce(order_id, '') || CASE WHEN event_time IS NULL OR order_id IS NULL "
+              "THEN '#' || CAST(event_id AS VARCHAR) ELSE '' END AS key FROM parsed JOIN waves USING (event_id)")
+
+
 def with_ctes(body: str, *names: str) -> str:
     """Prefix ``body`` with the CTEs it needs (dependencies included)."""
     defs = {}
@@ -110,6 +120,8 @@ def with_ctes(body: str, *names: str) -> str:
     defs["messages"] = MESSAGES
     defs["parsed"] = PARSED
     defs["landing"] = LANDING
+    defs["waves"] = WAVES
+    defs["deliveries"] = DELIVERIES
     deps = {
         "clean_orders": ["raw_orders"], "clean_customers": ["raw_customers"],
         "clean_products": ["raw_products"], "clean_order_items": ["raw_order_items"],
@@ -117,7 +129,7 @@ def with_ctes(body: str, *names: str) -> str:
         "stg_products": ["clean_products"], "stg_order_items": ["clean_order_items"],
         "fact_orders": ["stg_orders", "stg_order_items"],
         "dim_customers": ["stg_customers"], "dim_products": ["stg_products"],
-        "parsed": ["messages"], "landing": ["parsed"],
+        "parsed": ["messages"], "landing": ["parsed"], "deliveries": ["waves", "parsed"],
     }
     ordered: list[str] = []
 
@@ -293,6 +305,38 @@ STREAM_DEAD = with_ctes(f"SELECT {STREAM_COLS}, 'Failed data quality checks' AS
 DLQ_ENVELOPE = with_ctes("SELECT CAST(0 AS BIGINT) AS batch_id, 'Failed data quality checks' AS reason, "
                          f"count(*) AS record_count FROM parsed WHERE NOT {VALID} AND delivery_attempt = 1",
                          "parsed")
+# The text of a message, restated.
+MESSAGE_TEXT = (
+    f"CASE WHEN {EVENT_NOT_JSON} THEN concat('not json: ORD-', cast(event_id as string)) ELSE concat("
+    "'{\"order_id\":\"ORD-', cast(event_id as string), '\",\"customer_id\":\"C', cast(user_id as string), "
+    "'\",\"product_id\":\"P-', event_type, '\",\"amount\":', "
+    "cast(CASE WHEN event_id % 47 = 0 THEN -value ELSE value END as string), "
+    "',\"quantity\":', json_extract_string(props, '$.k'), "
+    f"CASE WHEN {EVENT_NO_TIME} THEN '' ELSE concat(',\"event_time\":\"', "
+    "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '+00:00\"') END, '}') END")
+
+
+def dlq_documents_sql(max_bytes: int, overhead: int) -> str:
+    return with_ctes(
+        "SELECT CAST(0 AS BIGINT) AS batch_id, 'Failed data quality checks' AS reason, part, "
+        "count(*) AS record_count, md5(string_agg(raw_value, chr(10) ORDER BY raw_value)) AS payload_md5 FROM ("
+        f"SELECT raw_value, CAST(floor((sum(strlen(raw_value) + {overhead}) OVER (ORDER BY raw_value "
+        f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - strlen(raw_value) - {overhead}) / {max_bytes}) AS BIGINT) AS part "
+        f"FROM (SELECT {MESSAGE_TEXT} AS raw_value FROM events JOIN parsed USING (event_id) "
+        f"WHERE NOT {VALID} AND delivery_attempt = 1) r) p GROUP BY part", "parsed")
+
+
+# Deliveries in waves: a row is late if its time is not after the highest time
+# of the waves before, less ten minutes (whole milliseconds); of the others of
+# one key the first counts.  Keys without a time do not outlive their wave.
+STREAM_LATE = with_ctes(
+    "SELECT order_id, customer_id, product_id, amount, quantity, event_time, "
+    f"CASE WHEN late THEN 'late' WHEN nth > 1 THEN 'repeat' WHEN {VALID} THEN 'landed' ELSE 'dead letter' END AS outcome "
+    "FROM (SELECT *, row_number() OVER (PARTITION BY key, late, CASE WHEN event_time IS NULL THEN wave END ORDER BY wave) AS nth "
+    "FROM (SELECT d.*, coalesce(epoch_us(d.event_time) <= m.mark, false) AS late FROM deliveries d LEFT JOIN "
+    "(SELECT w.wave, (epoch_us(max(x.event_time)) // 1000) * 1000 - 600000000 AS mark FROM (SELECT DISTINCT wave FROM deliveries) w "
+    "JOIN deliveries x ON x.wave < w.wave GROUP BY w.wave) m ON m.wave = d.wave) marked) numbered", "deliveries")
+
 REALTIME_NO_PT = with_ctes(
     f"SELECT {STREAM_COLS}, CAST(event_time AS DATE) AS order_date, "
     "date_trunc('hour', event_time) AS order_hour FROM landing WHERE order_id IS NOT NULL", "landing")

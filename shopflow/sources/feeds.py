@@ -85,6 +85,13 @@ EVENT_NO_TIME = "event_id % 59 = 0"
 EVENT_REDELIVERED = "event_id % 11 = 0"
 
 
+# Waves of deliveries (ten days each): some events come a wave late, some come
+# again in the next wave.
+EVENT_DELAYED = "event_id % 41 = 0"
+EVENT_AGAIN = "event_id % 43 = 0"
+WAVES = 3
+
+
 def _select(exprs) -> list[str]:
     return [f"{e} AS {a}" for a, e in exprs]
 
@@ -172,3 +179,11 @@ def order_messages(events: DataFrame) -> DataFrame:
     return (events
             .select(text.cast("binary").alias("value"), F.explode(attempts).alias("delivery_attempt"))
             .select("value"))
+
+
+def event_waves(events: DataFrame) -> DataFrame:
+    """The events with the ``wave`` of each of their deliveries."""
+    own = F.least(F.lit(WAVES - 1), F.floor((F.dayofmonth("ts") - 1) / 10))
+    first = (own + F.when(F.expr(EVENT_DELAYED) & (own < WAVES - 1), 1).otherwise(0)).cast("int")
+    waves = F.when(F.expr(EVENT_AGAIN) & (first < WAVES - 1), F.array(first, first + 1)).otherwise(F.array(first))
+    return events.withColumn("wave", F.explode(waves))

@@ -146,6 +146,16 @@ def ensure_exists(spark: SparkSession, target: Target) -> None:
     _save(spark.createDataFrame([], target.schema), target, "append")
 
 
+def swap(spark: SparkSession, fresh: str, old: str) -> None:
+    """Put the folder ``fresh`` in the place of ``old``, which is deleted."""
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, old, f"{old}_replaced")]
+    fs = paths[0].getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(paths[1]):
+        fs.rename(paths[1], paths[2])
+    fs.rename(paths[0], paths[1])
+    fs.delete(paths[2], True)
+
+
 def write_all(df: DataFrame, targets: list[Target], mode: str = "overwrite") -> list[dict]:
     """Load one cleaned frame into several targets: the frame is computed
     once (persisted, spilling to disk), written N times, then released."""
