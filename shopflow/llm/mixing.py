@@ -30,7 +30,7 @@ WEIGHTS = (1, 2, 3)     # by a source's place in code point order, repeating
 CAP = 3                 # times that a source, and any document, is taken at most
 RESOLUTION = 1 << 14    # blocks a source, on average
 SHARDS = 8              # of the mix
-BIN_DOCS = 1 << 14      # documents of all sources per bin number, on average
+BIN_DOCS = 1 << 10      # documents of all sources per bin number, on average
 SEED = 12
 # A prime above any number of blocks: its remainder never shares a factor
 # with that number, so multiplying by it permutes the block numbers.
