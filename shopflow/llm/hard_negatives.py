@@ -62,8 +62,8 @@ def whole_vectors(vectors: DataFrame) -> DataFrame:
 
 
 def _matrix(column: pa.ListArray, kind=np.int64) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1).astype(kind, copy=False) if len(column) else np.zeros((0, 0), kind)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False)
+    return flat.reshape(len(column), len(flat) // max(1, len(column)))
 
 
 def _angles(references: np.ndarray):
@@ -90,7 +90,7 @@ def angled(spark: SparkSession, rows: DataFrame, references: int = REFERENCES) -
     """The rows with their stored angles, dealt and sorted by nearest
     reference and angle (and id, so that equal vectors spread)."""
     chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(references).select("q").collect()
-    table = np.array([r["q"] for r in chosen], np.float64).reshape(len(chosen), -1)
+    table = np.array([r["q"] for r in chosen], np.float64).reshape(len(chosen), len(chosen[0]["q"]) if chosen else 0)
     schema = ("vec_id long, label long, q array<long>, norm double, angles array<float>, near int, angle float")
     order = ["near", "angle", "vec_id"]
     return saved(rows.mapInArrow(_angles(table), schema).repartitionByRange(shuffle_parts(spark), *order)
