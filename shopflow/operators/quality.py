@@ -7,12 +7,13 @@ Two families, both returning small result DataFrames (one row per check):
 * **model tests** (post-transform): not_null, unique, accepted_values,
   relationships, accepted_range and the orphan-item singular test.
 
-Execution is fused: every row-level check of one table is a ``count_if``
-inside a single aggregate, so a table is scanned once for all of them.  A
-uniqueness check needs a ``groupBy`` on its column (partial aggregation on
-the map side, so a hot value is pre-counted before the shuffle); a
-relationship check is a left-anti join.  Nothing is collected except the
-per-dataset summary that the gate inspects (a handful of rows).
+Execution is fused.  Source expectations: every row-level check of one table
+is a ``count_if`` inside a single aggregate, and a uniqueness check is a
+``groupBy`` on its column.  Model tests: every relation is scanned once and
+all tests, uniqueness and relationships included, share one aggregation by
+(test, key), with partial sums on the map side, so a hot value is pre-counted
+before the shuffle.  Nothing is collected except the per-dataset summary that
+the gate inspects (a handful of rows).
 """
 
 from __future__ import annotations
@@ -415,26 +416,6 @@ def orphan_items(items: DataFrame, orders: DataFrame) -> DataFrame:
         "order_id", "order_item_id", "product_id")
 
 
-def _failure_count(relations: dict[str, DataFrame], t: ModelTest) -> DataFrame:
-    """One-row frame ``f`` = number of failing rows of ``t``.
-
-    Key-based tests count per key value first (partial aggregation on the
-    map side), so a value carried by a third of the child rows travels the
-    shuffle as a single (value, count) pair; the anti-join then runs on
-    distinct values only and the failing rows are the sum of their counts.
-    """
-    if t.test in ("relationships", "no_orphan_items"):
-        df = relations[t.relation]
-        key = t.column if t.test == "relationships" else "order_id"
-        field_ = t.args.get("field", "order_id")
-        child = (df.filter(F.col(key).isNotNull()) if t.test == "relationships" else df)
-        per_key = child.groupBy(F.col(key).alias("k__")).agg(F.count(F.lit(1)).alias("n__"))
-        parent = relations[t.args["to"]].select(F.col(field_).alias("k__")).distinct()
-        missing = per_key.join(parent, "k__", "left_anti")
-        return missing.agg(F.coalesce(F.sum("n__"), F.lit(0)).alias("f"))
-    return violations(relations, t).agg(F.count(F.lit(1)).alias("f"))
-
-
 def _result(t: ModelTest, failures: Column) -> Column:
     return F.struct(F.lit(t.relation).alias("relation"), F.lit(t.test).alias("test_name"),
                     F.lit(t.column).cast("string").alias("column_name"),
@@ -442,24 +423,72 @@ def _result(t: ModelTest, failures: Column) -> Column:
                     F.when(failures == 0, "pass").otherwise("fail").alias("status"))
 
 
+KEYED = ("unique", "relationships", "no_orphan_items")
+CHILD, PARENT = "child", "parent"
+
+
+def _key(t: ModelTest, side: str) -> str:
+    """The key column of one side of a keyed test."""
+    if t.test == "no_orphan_items":
+        return "order_id"
+    return t.column if side == CHILD else t.args["field"]
+
+
+def _entries(df: DataFrame, sides: list[tuple[int, ModelTest, str]]) -> DataFrame:
+    """What one relation says to the tests it takes part in: rows ``(test,
+    side, key)``, from one scan.
+
+    A keyed test gets its key, as text, once per row; a row-level test gets
+    an entry without a key for each failing row only.  The entries are counted
+    within the task first (see :func:`run_model_tests`), so a key that a
+    third of the rows carry, or a test that they all fail, is one entry a
+    task in the shuffle."""
+    entries = []
+    for i, t, side in sides:
+        c = F.col(_key(t, side)) if t.test in KEYED else F.col(t.column)
+        if t.test == "not_null":
+            there, key = c.isNull(), None
+        elif t.test == "accepted_range":
+            there, key = _range_violation(c, t.args), None
+        elif t.test == "accepted_values":   # the failing values, each counted once
+            there, key = c.isNotNull() & ~c.isin(list(t.args["values"])), c
+        else:
+            # a null key is nobody's duplicate and needs no parent, but an
+            # item without an order id is an orphan
+            there, key = (F.lit(True) if (t.test, side) == ("no_orphan_items", CHILD) else c.isNotNull()), c
+        entries.append(F.when(there, F.struct(
+            F.lit(i).alias("test"), F.lit(side).alias("side"),
+            (key.cast("string") if key is not None else F.lit(None).cast("string")).alias("key"))))
+    return df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")).select("e.*")
+
+
 def run_model_tests(relations: dict[str, DataFrame], tests: list[ModelTest] = MODEL_TESTS) -> DataFrame:
-    """Failure count and status of every test; row-level tests of one
-    relation share a single aggregate."""
-    by_rel: dict[str, list[ModelTest]] = {}
-    for t in tests:
-        by_rel.setdefault(t.relation, []).append(t)
-    parts: list[DataFrame] = []
-    for rel, ts in by_rel.items():
-        df = relations[rel]
-        aggs, rows = [], []
-        for i, t in enumerate(ts):
-            if t.test in ("not_null", "accepted_range"):
-                pred = F.col(t.column).isNull() if t.test == "not_null" else _range_violation(F.col(t.column), t.args)
-                aggs.append(F.count_if(pred).alias(f"f{i}"))
-                rows.append(_result(t, F.col(f"f{i}")))
-            else:
-                parts.append(_failure_count(relations, t).select(_result(t, F.col("f")).alias("r"))
-                                                         .select("r.*"))
-        if aggs:
-            parts.append(df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
-    return reduce(DataFrame.unionByName, parts)
+    """Failure count and status of every test.
+
+    Every relation is scanned once.  All tests of all relations share one
+    shuffle: entries are added up per (test, key), where a unique test looks
+    for keys counted more than once, a relationship for keys with children
+    and no parent (its failing rows are the children counted), an accepted
+    value for one failing group, and a row-level test adds up its rows."""
+    sides: dict[str, list[tuple[int, ModelTest, str]]] = {}
+    for i, t in enumerate(tests):
+        sides.setdefault(t.relation, []).append((i, t, CHILD))
+        if "to" in t.args:
+            sides.setdefault(t.args["to"], []).append((i, t, PARENT))
+    spark = next(iter(relations.values())).sparkSession
+    parts = [_entries(relations[rel], s) for rel, s in sides.items()]
+    # a test with nothing to say still has its row
+    parts.append(spark.range(len(tests)).select(F.col("id").cast("int").alias("test"), F.lit("").alias("side"),
+                                                F.lit(None).cast("string").alias("key")))
+    count = lambda side: F.count(F.when(F.col("side") == side, 1))
+    per_key = (reduce(DataFrame.unionByName, parts).groupBy("test", "key")
+               .agg(count(CHILD).alias("children"), count(PARENT).alias("parents")))
+    kind = F.element_at(F.array(*[F.lit(t.test) for t in tests]), F.col("test") + 1)
+    children = F.col("children")
+    failing = (F.when(kind == "unique", (children > 1).cast("long"))
+                .when(kind == "accepted_values", (children > 0).cast("long"))
+                .when(kind.isin("relationships", "no_orphan_items"), F.when(F.col("parents") == 0, children).otherwise(0))
+                .otherwise(children))
+    totals = per_key.groupBy("test").agg(F.sum(failing).alias("f"))
+    results = F.element_at(F.array(*[_result(t, F.col("f")) for t in tests]), F.col("test") + 1)
+    return totals.select(results.alias("r")).select("r.*")
