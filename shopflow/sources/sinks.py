@@ -156,9 +156,20 @@ def swap(spark: SparkSession, fresh: str, old: str) -> None:
     fs.delete(paths[2], True)
 
 
+def _keeps_types(target: Target) -> bool:
+    return target.format in ("parquet", "orc", "catalog")
+
+
 def write_all(df: DataFrame, targets: list[Target], mode: str = "overwrite") -> list[dict]:
-    """Load one cleaned frame into several targets: the frame is computed
-    once (persisted, spilling to disk), written N times, then released."""
+    """Load one cleaned frame into several targets, computed once: the later
+    targets are copies of what the first now holds, read back from it.  Only
+    where the first has no types of its own (text, a database) or is appended
+    to is the frame kept for the time of the load."""
+    spark = df.sparkSession
+    if mode == "overwrite" and _keeps_types(targets[0]):
+        first = write_table(df, targets[0], mode)
+        source = read_table(spark, targets[0])
+        return [first, *[write_table(source, t, mode) for t in targets[1:]]]
     cached = df.persist()
     try:
         return [write_table(cached, t, mode) for t in targets]
@@ -166,6 +177,80 @@ def write_all(df: DataFrame, targets: list[Target], mode: str = "overwrite") ->
         cached.unpersist()
 
 
+# ---- all-or-nothing loads of several targets ---------------------------------
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def commits(spark: SparkSession, manifests: str) -> list[str]:
+    """Names of the commits of a load, oldest first."""
+    fs, path = _fs(spark, manifests)
+    if not fs.exists(path):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    return sorted(n for n in names if n.isdigit())
+
+
+def write_together(df: DataFrame, targets: list[Target], manifests: str) -> dict:
+    """Replace the contents of several file targets as one.
+
+    Each target's new contents go into a folder of their own below its
+    location; the first is written from ``df`` and the others are copies of
+    it.  When all are there, one small manifest names the folders, and it
+    appears by a rename: readers (:func:`read_together`) see the old contents
+    of all targets or the new contents of all.  A load that fails leaves the
+    last commit as it was."""
+    spark = df.sparkSession
+    if any(t.format in ("jdbc", "bigquery", "catalog") for t in targets) or not _keeps_types(targets[0]):
+        raise ValueError("an all-or-nothing load takes file targets, the first with types of its own")
+    version = uuid.uuid4().hex[:12]
+    staged = [t.at(f"{t.location}/{version}") for t in targets]
+    loads = [write_table(df, staged[0], "errorifexists")]
+    source = read_table(spark, staged[0])
+    loads += [write_table(source, t, "errorifexists") for t in staged[1:]]
+    done = commits(spark, manifests)
+    name = f"{int(done[-1]) + 1 if done else 1:012d}"
+    fs, draft = _fs(spark, f"{manifests}/_{version}")
+    spark.createDataFrame([(t.name, s.location) for t, s in zip(targets, staged, strict=True)],
+                          "name string, location string").coalesce(1).write.json(draft.toString())
+    final = spark._jvm.org.apache.hadoop.fs.Path(f"{manifests}/{name}")
+    if fs.exists(final) or not fs.rename(draft, final):
+        raise RuntimeError(f"another load has committed {name}")
+    return {"commit": name, "loads": loads}
+
+
+def committed(spark: SparkSession, manifests: str, commit: str | None = None) -> dict[str, str]:
+    """Target name -> folder, of a commit (default: the last)."""
+    done = commits(spark, manifests)
+    if not done:
+        return {}
+    rows = spark.read.schema("name string, location string").json(f"{manifests}/{commit or done[-1]}").collect()
+    return {r["name"]: r["location"] for r in rows}
+
+
+def read_together(spark: SparkSession, targets: list[Target], manifests: str) -> list[DataFrame]:
+    """The targets as the last commit left them, all of one commit."""
+    where = committed(spark, manifests)
+    return [read_table(spark, t.at(where[t.name])) for t in targets]
+
+
+def forget_old(spark: SparkSession, targets: list[Target], manifests: str, keep: int = 2) -> int:
+    """Delete the folders that none of the last ``keep`` commits names (those
+    of older commits and of failed loads).  Not while a load runs."""
+    named = {p for c in commits(spark, manifests)[-keep:] for p in committed(spark, manifests, c).values()}
+    names = {p.rstrip("/").rsplit("/", 1)[-1] for p in named}
+    gone = 0
+    for t in targets:
+        fs, path = _fs(spark, t.location)
+        for s in fs.listStatus(path) if fs.exists(path) else []:
+            if s.getPath().getName() not in names:
+                fs.delete(s.getPath(), True)
+                gone += 1
+    return gone
+
+
 def insert_if_absent(new: DataFrame, existing: DataFrame | None, keys: list[str],
                      dedup: bool = True) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing`` (INSERT ... ON
