@@ -4,11 +4,11 @@ Per language, phrases of up to ``LONGEST`` words inside a piece that occur at
 least ``least`` times are found in rounds (single words, pairs, then all
 longer ones).  In a round every text is read once, a task counts the keys of
 its n-grams slice by slice, and the counts go to hash partitions of the keys.
-A partition keeps one Misra-Gries summary of more than mass / ``least``
+A partition keeps one Misra-Gries summary of ``ROOM`` times mass / ``least``
 counters (its mass, the sum of all counts sent to it, arrives first): all its
-decrements together stay below ``least``, so every frequent n-gram survives
-whatever else there is, in memory that does not depend on the number of
-distinct n-grams.  Survivors whose count plus all decrements reaches
+decrements together stay below ``least`` / ``ROOM``, so every frequent n-gram
+survives whatever else there is, in memory that does not depend on the number
+of distinct n-grams.  Survivors whose count plus all decrements reaches
 ``least`` set a bit in a map of ``FILTER_BITS`` bits (its size is fixed;
 a fuller map lets more through and loses nothing).  An n-gram of a
 later round is counted only if its parts have their bits.
@@ -36,7 +36,9 @@ LONGEST = 5
 FIRST = 2000
 SCALE = 1000
 ROUNDS = ((1,), (2,), (3, 4, 5))
+KEY_BITS = 48            # two n-grams with one key only let more through
 FILTER_BITS = 26
+ROOM = 8                 # times the counters that the guarantee needs
 SLICE_BYTES = 2 << 20    # of text, cut at a time (a longer text comes alone)
 FLUSH = 1 << 21          # n-grams counted together in a task
 HELD = 200_000           # phrases held by a task of the second pass
@@ -114,7 +116,8 @@ class Cut:
         h = self.hashes(seed)
         salts = np.array([_salt(x) for x in self.langs], np.uint64)
         key, there = _mixed(h ^ salts[self.lang]), np.ones(len(h), bool)
-        yield 1, key, there
+        short = _U(64 - KEY_BITS)
+        yield 1, key >> short, there
         for n in range(2, LONGEST + 1):
             m = max(0, len(h) - n + 1)
             key, there = key.copy(), there & self.joined
@@ -122,7 +125,7 @@ class Cut:
             if n > 2:            # and the n - 1 words from the next one on
                 there[:-1] &= before[1:]
             before = there
-            yield n, key, there
+            yield n, key >> short, there
 
     def text(self, i: int, n: int) -> str:
         return b" ".join(self.bytes[self.start[j]:self.end[j]].tobytes() for j in range(i, i + n)).decode("utf-8", "replace")
@@ -135,7 +138,7 @@ class Bits:
         self.words = np.zeros(1 << (FILTER_BITS - 6), np.uint64) if words is None else words
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        slot = keys >> _U(64 - FILTER_BITS)
+        slot = keys >> _U(KEY_BITS - FILTER_BITS)
         return (self.words[slot >> _U(6)] >> (slot & _U(63))) & _U(1) != 0
 
 
@@ -155,6 +158,22 @@ def wanted(c: Cut, seed: int, maps: list[np.ndarray]) -> Iterator[tuple[int, np.
             shorter = there
 
 
+def squeezed(key: np.ndarray, count: np.ndarray) -> bytes:
+    """Ascending keys as steps and counts as bytes, with the few that do not
+    fit beside them."""
+    step = np.diff(key, prepend=_U(0))
+    far, many = np.flatnonzero(step >> _U(32)), np.flatnonzero(count > 255)
+    return pack(step.astype(np.uint32), far, step[far] >> _U(32), np.minimum(count, 255).astype(np.uint8), many, count[many])
+
+
+def unsqueezed(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    low, far, high, few, many, more = unpack(blob, np.uint32, np.int64, np.uint64, np.uint8, np.int64, np.int64)
+    step, count = low.astype(np.uint64), few.astype(np.int64)
+    step[far] += high << _U(32)
+    count[many] = more
+    return np.cumsum(step, dtype=np.uint64), count
+
+
 def _tally(maps, parts: int):
     """The counts of the keys of one round, packed per hash partition, and
     the mass of each partition."""
@@ -162,10 +181,10 @@ def _tally(maps, parts: int):
 
     def packed(keys: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         key, n = np.unique(np.concatenate(keys), return_counts=True)
-        part = (key % _U(parts)).astype(np.int64)
+        key, part = key // _U(parts), (key % _U(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        key, n, part = key[order], n[order].astype(np.int32), part[order]
-        rows = [(p, int(n[s].sum()), pack(key[s], n[s])) for p, s in cut(part, parts)]
+        key, n, part = key[order], n[order], part[order]
+        rows = [(p, int(n[s].sum()), squeezed(key[s], n[s])) for p, s in cut(part, parts)]
         k = len(rows)
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows] * 2, pa.int32()), pa.array([0] * k + [1] * k, pa.int32()),
@@ -204,7 +223,7 @@ class Summary:
 
     def merge(self) -> None:
         key = np.concatenate([self.key, *[k for k, _ in self.waiting]])
-        count = np.concatenate([self.count, *[c.astype(np.int64) for _, c in self.waiting]])
+        count = np.concatenate([self.count, *[c for _, c in self.waiting]])
         self.waiting, self.size = [], 0
         order = np.argsort(key, kind="stable")
         key, count = key[order], count[order]
@@ -222,7 +241,7 @@ class Summary:
         return self.key[self.count + self.removed >= least]
 
 
-def _summarise(least: int):
+def _summarise(least: int, parts: int):
     """One summary a hash partition; its mass rows come before its counts."""
     def run(batches):
         mass: dict[int, int] = {}
@@ -233,10 +252,11 @@ def _summarise(least: int):
                     mass[part] = mass.get(part, 0) + m
                     continue
                 if part not in summaries:
-                    summaries[part] = Summary(mass[part] // least + 1)
-                summaries[part].add(*unpack(blob, np.uint64, np.int32))
-        for s in summaries.values():
-            yield pa.RecordBatch.from_arrays([pa.array(s.survivors(least).view(np.int64))], names=["key"])
+                    summaries[part] = Summary(ROOM * mass[part] // least + 1)
+                summaries[part].add(*unsqueezed(blob))
+        for part, s in summaries.items():
+            key = s.survivors(least) * _U(parts) + _U(part)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], names=["key"])
     return run
 
 
@@ -247,55 +267,112 @@ def survivors(spark: SparkSession, rows: DataFrame, maps: list[np.ndarray], leas
     shared = spark.sparkContext.broadcast(list(maps))      # fixed size, one map a round
     counts = rows.mapInArrow(_tally(shared, parts), "part int, kind int, mass long, counts binary")
     keys = (counts.repartition(parts, "part").sortWithinPartitions("kind", "part")
-            .mapInArrow(_summarise(least), "key long"))
-    slot = F.shiftrightunsigned("key", 64 - FILTER_BITS)
+            .mapInArrow(_summarise(least, parts), "key long"))
+    slot = F.shiftrightunsigned("key", KEY_BITS - FILTER_BITS)
     words = (keys.groupBy(F.shiftright(slot, 6).alias("word"))
-             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - FILTER_BITS}) & 63 as int))")).alias("bits"))
+             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {KEY_BITS - FILTER_BITS}) & 63 as int))")).alias("bits"))
              .toArrow())
     out = Bits().words
     out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return out
 
 
-def _recount(maps):
-    """Exact counts, within the task, of the n-grams whose bits are set."""
-    def out(held: dict, words: dict) -> Iterator[pa.RecordBatch]:
-        rows = [(v[1], v[2], v[3], v[0]) for v in held.values()] + [(k, 0, "", n) for k, n in words.items()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()),
-             pa.array([r[2] for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.int64())],
-            names=["lang", "m", "phrase", "f"])
+class Phrases:
+    """The phrases that a task has met: two hashes name each, so that its
+    words are cut out once; counts by position."""
+
+    def __init__(self):
+        self.key, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.place = np.zeros(0, np.int64)       # of each key, in order of arrival
+        self.count, self.lang, self.n, self.text = np.zeros(0, np.int64), [], [], []
+
+    def __len__(self) -> int:
+        return len(self.text)
+
+    def add(self, c: Cut, n: int, key: np.ndarray, check: np.ndarray, at: np.ndarray) -> None:
+        order = np.lexsort((check, key))
+        key, check, at = key[order], check[order], at[order]
+        first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (check[1:] != check[:-1]))))
+        times = np.diff(np.concatenate((first, [len(at)])))
+        key, check, at = key[first], check[first], at[first]
+        i = np.minimum(np.searchsorted(self.key, key), max(0, len(self.key) - 1))
+        known = (self.key[i] == key) & (self.check[i] == check) if len(self.key) else np.zeros(len(key), bool)
+        np.add.at(self.count, self.place[i[known]] if len(self.key) else i[known], times[known])
+        new = np.flatnonzero(~known)
+        if not len(new):
+            return
+        self.lang += [c.langs[k] for k in c.lang[at[new]].tolist()]
+        self.n += [n] * len(new)
+        self.text += [c.text(k, n) for k in at[new].tolist()]
+        place = np.concatenate([self.place, len(self.count) + np.arange(len(new))])
+        self.count = np.concatenate([self.count, times[new]])
+        keys, checks = np.concatenate([self.key, key[new]]), np.concatenate([self.check, check[new]])
+        order = np.lexsort((checks, keys))
+        self.key, self.check, self.place = keys[order], checks[order], place[order]
+
+    def packed(self, parts: int) -> Iterator[tuple[int, bytes]]:
+        """Per hash partition: the names, counts, languages and texts."""
+        part = (self.key % _U(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        for p, s in cut(part[order], parts):
+            rows = order[s]
+            at = self.place[rows].tolist()
+            words = [x for k in at for x in (self.lang[k].encode(), self.text[k].encode())]
+            yield p, pack(self.key[rows], self.check[rows], self.count[at], np.array([self.n[k] for k in at], np.uint8),
+                          np.array([len(w) for w in words], np.int64), np.frombuffer(b"".join(words), np.uint8))
+
+
+def _recount(maps, parts: int):
+    """Exact counts, within the task, of the n-grams whose bits are set; and
+    the words of each language, as a phrase of length 0."""
+    def out(held: Phrases) -> Iterator[pa.RecordBatch]:
+        rows = list(held.packed(parts))
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())],
+                                         names=["part", "counts"])
 
     def run(batches):
-        held: dict = {}
-        words: dict = {}
+        held = Phrases()
         for b in slices(batches, chars=SLICE_BYTES):
             c = Cut(b)
-            for k, n in zip(*np.unique(c.lang, return_counts=True), strict=True):
-                words[c.langs[k]] = words.get(c.langs[k], 0) + int(n)
-            second = c.keys(2)           # two independent hashes name a phrase within a task
+            if not len(c.start):
+                continue
+            salts = np.array([_salt(x) for x in c.langs], np.uint64)[c.lang]
+            held.add(c, 0, salts, ~salts, np.arange(len(salts)))
+            second = c.keys(2)           # two independent hashes name a phrase
             for n, key, there in wanted(c, 1, maps.value):
                 _, check, _ = next(second)
                 at = np.flatnonzero(there)
-                if not len(at):
-                    continue
-                order = np.lexsort((check[at], key[at]))
-                at = at[order]
-                k, h = key[at], check[at]
-                first = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (h[1:] != h[:-1]))))
-                times = np.diff(np.concatenate((first, [len(at)])))
-                for name, i, f in zip(zip(k[first].tolist(), h[first].tolist(), strict=True),
-                                      at[first].tolist(), times.tolist(), strict=True):
+                if len(at):
+                    held.add(c, n, key[at], check[at], at)
+            if len(held) >= HELD:
+                yield from out(held)
+                held = Phrases()
+        if len(held):
+            yield from out(held)
+    return run
+
+
+def _added(least: int):
+    """The counts of a hash partition's phrases from all tasks, added up."""
+    def run(batches):
+        held: dict = {}
+        for b in batches:
+            for blob in b.column("counts").to_pylist():
+                key, check, count, n, size, words = unpack(blob, np.uint64, np.uint64, np.int64, np.uint8, np.int64, np.uint8)
+                ends, text = np.cumsum(size), words.tobytes()
+                first, mid, last = (ends - size)[::2], ends[::2], ends[1::2]     # a language and a phrase each
+                for name, f, m, lo, at, hi in zip(zip(key.tolist(), check.tolist(), strict=True), count.tolist(), n.tolist(),
+                                                  first.tolist(), mid.tolist(), last.tolist(), strict=True):
                     got = held.get(name)
                     if got is None:
-                        held[name] = [f, c.langs[c.lang[i]], n, c.text(i, n)]
+                        held[name] = [f, m, text[lo:at], text[at:hi]]
                     else:
                         got[0] += f
-            if len(held) >= HELD:
-                yield from out(held, words)
-                held, words = {}, {}
-        if held or words:
-            yield from out(held, words)
+        rows = [(lang.decode(), m, phrase.decode(), f) for f, m, lang, phrase in held.values() if f >= least or m == 0]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 4,
+                                            (pa.string(), pa.int32(), pa.string(), pa.int64()), strict=True)],
+            names=["lang", "m", "phrase", "f"])
     return run
 
 
@@ -308,10 +385,10 @@ def frequent(spark: SparkSession, docs: DataFrame, least: int = LEAST) -> DataFr
     maps: list[np.ndarray] = []
     for _ in ROUNDS:
         maps.append(survivors(spark, rows, maps, least))
-    shared = spark.sparkContext.broadcast(maps)
-    counted = (rows.mapInArrow(_recount(shared), "lang string, m int, phrase string, f long")
-               .groupBy("lang", "m", "phrase").agg(F.sum("f").alias("f")))
-    return saved(counted.where((F.col("f") >= least) | (F.col("m") == 0)), "frequent-phrases")
+    parts = shuffle_parts(spark)
+    counted = (rows.mapInArrow(_recount(spark.sparkContext.broadcast(maps), parts), "part int, counts binary")
+               .repartition(parts, "part").mapInArrow(_added(least), "lang string, m int, phrase string, f long"))
+    return saved(counted, "frequent-phrases")
 
 
 def collocations(spark: SparkSession, docs: DataFrame, least: int = LEAST, first: int = FIRST) -> DataFrame:
