@@ -218,6 +218,45 @@ def test_suffix_dedup_keeps_its_block_with_a_frequent_line(spark, monkeypatch):
     assert [n for (d, _, _), n in got.items() if d == 1] == [0, 0]  # its own text and the copies of one id and text
 
 
+def test_suffix_dedup_sorts_a_frequent_line_by_distances(spark, monkeypatch):
+    """More suffixes than a block before one anchor, but not at any one
+    distance: they are sorted some distances at a time, never hashed."""
+    block, real, calls = 6000, SD._block, []
+
+    def bounded(h, off, doc, tie, lo, n, raw, at):
+        assert int((n - 99).sum()) <= block
+        return real(h, off, doc, tie, lo, n, raw, at)
+    monkeypatch.setattr(SD, "_block", bounded)
+    monkeypatch.setattr(SD, "_windows", lambda blobs: calls.append(blobs))
+    rnd = random.Random(6)
+    text = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    line = "terms of use: a line that comes in every document, ok"
+    rows = [(i, f"{text(90)} {line} {text(90)}") for i in range(400)]
+    for i in range(0, 60, 3):        # some repeat a neighbour's line with more or less around it
+        a, b = rows[i][1].index(line), rnd.randint(0, 60)
+        rows.append((1000 + i, text(30) + rows[i][1][a - b:a + len(line) + 70 - b // 2] + text(40)))
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"], r["kept_sha256"])
+           for r in SD.suffix_dedup(spark, frame(spark, rows).repartition(6), 2, block).collect()}
+    seen = set()
+    for i, t in rows:
+        b = t.encode()
+        gone = bytearray(len(b))
+        for p in range(len(b) - 99):
+            if b[p:p + 100] in seen:
+                gone[p:p + 100] = b"\x01" * 100
+            seen.add(b[p:p + 100])
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        spans = sum(1 for k in range(len(b)) if gone[k] and (k == 0 or not gone[k - 1]))
+        assert got[i] == (sum(gone), spans, hashlib.sha256(kept).hexdigest()), i
+    assert sum(n for n, _, _ in got.values()) > 1000 and not calls
+
+
+def test_native_rules_run_without_python(spark):
+    labels = spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int")
+    plan = QR.quality_rules(spark, frame(spark, DOCS[:20]), labels)._jdf.queryExecution().toString()
+    assert not re.search("InArrow|InPandas|EvalPython", plan)
+
+
 def test_anchors_spread_over_the_buckets():
     import numpy as np
     b = np.random.default_rng(0).integers(97, 123, 200_000).astype(np.uint8)
