@@ -362,3 +362,9 @@ def rollup_sql(unit: str) -> str:
 PRODUCTS_TRANSLATED = with_ctes(
     "SELECT product_id, product_category, CASE WHEN length(product_category) % 5 = 0 OR product_category IN ('', 'unknown') "
     "THEN 'unknown' ELSE upper(product_category) END AS product_category_english FROM dim_products", "dim_products")
+
+BATCH_LOAD_COUNTS = with_ctes(
+    " UNION ALL ".join(f"SELECT '{n}' AS relation, count(*) AS row_count FROM {cte}" for n, cte in (
+        *((t, f"clean_{t}") for t in ("orders", "customers", "products", "order_items")),
+        *((m, m) for m in (*STAGING, *MARTS)))),
+    "clean_orders", "clean_customers", "clean_products", "clean_order_items", *STAGING, *MARTS)

@@ -71,12 +71,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_made: list[str] = []   # work folders of this process, oldest first
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint root for one run of ``name``."""
     path = os.path.join(checkpoint_root(spark), "shopflow", f"{name}-{uuid.uuid4().hex[:12]}")
+    _made.append(path)
     return path
 
 
+def remove_work(spark: SparkSession) -> int:
+    """Delete the work folders made so far by this process, through the store
+    they live in.  Results that still read from them are gone with them, so
+    call it when those are written or no longer needed."""
+    gone = 0
+    while _made:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        gone += bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
+    return gone
+
+
 def size_shuffles(spark: SparkSession, shuffle_bytes: int, target_bytes: int = 128 * 1024 * 1024,
                   min_partitions: int = 200) -> int:
     """Start shuffles with enough partitions for ``shuffle_bytes`` of data at

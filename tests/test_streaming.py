@@ -176,8 +176,8 @@ def test_null_payloads_keyed_by_source_position(spark):
     assert ING.deduplicated(parsed).count() == 3
 
 
-def test_multi_date_batch_written_by_range(spark, tmp):
-    """A backfill batch over several dates: range layout, few files, all rows."""
+def test_multi_date_batch_is_dealt_by_date(spark, tmp):
+    """A backfill batch over several dates: few files, all rows."""
     msgs = [_msg(f"o{d}_{i}", "00:00:00").replace("2024-01-01", f"2024-01-0{d}")
             for d in range(1, 6) for i in range(40)]
     targets = ING.ingest_sinks(f"{tmp}/range")
@@ -189,3 +189,18 @@ def test_multi_date_batch_written_by_range(spark, tmp):
     assert landed.count() == 200
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert len(spark.read.parquet(targets.landing.location).inputFiles()) <= n + 5
+
+
+def test_hot_date_is_written_by_many_tasks(spark, tmp, monkeypatch):
+    """A date with more rows than a file holds is dealt to more tasks, the
+    others of the same batch stay one file each."""
+    monkeypatch.setattr(ING, "ROWS_PER_FILE", 50)
+    msgs = [_msg(f"h{i}", "00:00:00") for i in range(240)]
+    msgs += [_msg(f"o{d}", "00:00:00").replace("2024-01-01", f"2024-01-0{d}") for d in range(2, 6)]
+    targets = ING.ingest_sinks(f"{tmp}/hot")
+    ING.prepare_sinks(spark, targets)
+    df = spark.createDataFrame([(m.encode(),) for m in msgs], "value binary").repartition(4)
+    assert ING.process_batch(ING.deduplicated(ST.parse_orders(df)), 0, targets)["landed"] == 244
+    files = [f.split("order_date=")[1][:10] for f in spark.read.parquet(targets.landing.location).inputFiles()]
+    assert 2 <= files.count("2024-01-01") <= 5
+    assert all(files.count(f"2024-01-0{d}") == 1 for d in range(2, 6))
