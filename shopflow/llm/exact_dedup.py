@@ -166,8 +166,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, table_bytes: int = TABLE_B
 
     Null text counts as empty; a null doc_id is the largest; of rows equal
     in text, doc_id and length exactly one is kept, also where the kept id
-    is null.  Other columns are ignored.  An empty table gives an empty
-    result.
+    is null.  Very long texts are compared whole; one above the table's
+    bytes is spilled like any that does not fit.  Ties in length go to the
+    smaller doc_id.  Other columns, whatever their names, are not read.  An
+    empty table gives an empty result.
     """
     found = classes(spark, docs, table_bytes, buckets)
     text = F.coalesce(F.col("text"), F.lit(""))

@@ -364,8 +364,10 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, buckets: int | None = Non
 
     A null or wordless text has no shingles and no links.  Rows that repeat a
     doc_id each keep their own set; a null doc_id is larger than all others,
-    and the component of null ids alone is null.  An empty table gives an
-    empty result.
+    and the component of null ids alone is null.  Repeated rows are linked.
+    Very long texts are read whole.  Ties: a similarity of exactly 0.75 links;
+    shingles of one frequency are ordered by their hash.  Other columns,
+    whatever their names, are not read.  An empty table gives an empty result.
     """
     joined = _rooted(spark, docs, buckets)
     low = joined.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("low"))

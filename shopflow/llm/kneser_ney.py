@@ -273,7 +273,9 @@ def score(docs: DataFrame, m: Model) -> DataFrame:
     ``train_tokens``, ``base_score``, ``score``, ``perplexity``.
 
     A null or empty text is the end token alone; a null doc_id is never held
-    out; repeated rows count and score each.
+    out; repeated rows count and score each.  Very long texts are read
+    whole.  Every token has one count, so there are no ties to break.  Other
+    columns, whatever their names, are not read.  An empty table gives none.
     """
     def run(batches):
         for b in slices(batches):

@@ -119,7 +119,10 @@ def language_id(spark: SparkSession, docs: DataFrame) -> DataFrame:
     A null or letterless text is ``und``; rows without a language are not
     learned from; a null doc_id belongs to no fold, so it is neither learned
     from nor held out; repeated rows count and are predicted each; without
-    any training row all are ``und``.
+    any training row all are ``und``.  Very long texts are read whole.  Ties:
+    n-grams of one frequency rank by their code points, and of languages at
+    one distance the first by name is taken.  Other columns, whatever their
+    names, are not read.  An empty table gives an empty result.
     """
     learn = docs.where(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
     out = predict(docs, profiles(learn))

@@ -148,7 +148,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, labels: DataFrame,
 
     Nulls: a null text is empty (it fails the word rule); a null doc_id is
     scored like any row and is never in the trusted set.  Repeated rows are
-    scored each.  Without trusted texts all rows are held against an even
+    scored each.  Very long texts are scored whole.  Ties: a mean at the
+    threshold is kept.  Columns not named in ``more`` are not read.  Without trusted texts all rows are held against an even
     target.  An empty table gives an empty result.
     """
     trusted = labels.where("quality = 1").select("doc_id")

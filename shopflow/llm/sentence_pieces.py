@@ -237,8 +237,11 @@ def decode(spark: SparkSession, encoded: DataFrame, model: str) -> DataFrame:
 
 def round_trip(spark: SparkSession, docs: DataFrame, model: str) -> DataFrame:
     """Encode and decode every text in one pass: ``doc_id``, ``n_tokens``,
-    ``ids_sha256``, ``decoded_sha256``.  Rows with a null or repeated doc_id
-    are each coded; an empty table gives none."""
+    ``ids_sha256``, ``decoded_sha256``.  A null text is empty: the end id
+    alone.  Rows with a null or repeated doc_id are each coded; very long
+    texts are coded whole, alone in a slice; of pairs of one rank the leftmost
+    merges first, as in the library.  Other columns, whatever their names, are
+    not read; an empty table gives none."""
     def run(batches):
         sp = sentence_pieces(model)
         sha = lambda parts: pa.array([hashlib.sha256(p).hexdigest() for p in parts], pa.string())

@@ -255,7 +255,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFra
     Null or empty texts have no hits and get the score of such texts; rows
     with a null doc_id are scored and never learned from; a label given
     twice counts as toxic if either is; without labels or rows the lexicons
-    are empty and all scores are equal and below one half.
+    are empty and all scores are equal and below one half.  Repeated rows are
+    scored each and alike.  Very long texts are read whole.  Ties do not
+    arise: a score of exactly one half counts as toxic.  Other columns,
+    whatever their names, are not read.
     """
     ids = train_ids(labels)
     rows = texts(docs)

@@ -350,6 +350,35 @@ def test_label_model_learns_accuracies_without_labels():
     assert ((m.posterior(votes) > 0.5) == y).mean() > 0.9
 
 
+def test_language_distance_and_ties(spark):
+    """Profiles, distances, scores and ties against plain counting."""
+    rnd = random.Random(4)
+    rows = [(i, " ".join("".join(rnd.choices("abcdeé", k=rnd.randint(1, 5))) for _ in range(rnd.randint(0, 30))), lang)
+            for i, lang in enumerate(["x", "y", "z", None] * 15)]
+    rows += [(900, "same words", "twin a"), (901, "same words", "twin b"), (902, None, "x"), (903, "123 456", "y"),
+             (904, "".join(rnd.choices("abcdeé ", k=200_000)), "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for size in (20, 300):
+        count = defaultdict(Counter)
+        for _, t, lang in rows:
+            if lang is not None:
+                count[lang].update(LI.grams(t or "").tolist())
+        order = lambda c: sorted(c, key=lambda g: (-c[g], g))[:size]
+        want = {lang: order(c) for lang, c in count.items() if c}
+        known = LI.profiles(df, size)
+        assert known == want
+        got = {r["doc_id"]: r for r in LI.predict(df, known, size).collect()}
+        for i, t, _ in rows:
+            mine = order(Counter(LI.grams(t or "").tolist()))
+            if not mine or not any(map(str.isalpha, t)):
+                assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0.0)
+                continue
+            far = {lang: sum(abs(p.index(g) - k) if g in p else size for k, g in enumerate(mine)) for lang, p in want.items()}
+            best = min(sorted(far), key=lambda lang: far[lang])
+            assert got[i]["lang_pred"] == best and math.isclose(got[i]["score"], 1 - far[best] / (size * len(mine)))
+        assert got[900]["lang_pred"] == got[901]["lang_pred"] == "twin a"
+
+
 def test_kneser_ney(spark, docs):
     got = {r["doc_id"]: r for r in KN.score(docs, KN.train(spark, docs.where(~KN.held_out()))).collect()}
     tok = lambda t: words((t or "").translate(LOWER)) + ["\n"]
