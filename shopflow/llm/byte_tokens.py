@@ -19,6 +19,9 @@ import pyarrow.compute as pc
 from shopflow.llm.gather import Segments, ragged
 
 RUN = 50  # unseen pieces in one running text: the library is slower on longer ones
+# Cached pieces and ids of a worker, which keeps them over its tasks: about 110
+# MB at most, as keys, their places and ids.
+CACHED, CACHED_IDS = 700_000, 5_000_000
 _RUN = re.compile(r"\s ")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -33,7 +36,7 @@ class ByteTokens:
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for piece, i in vocabulary.items():
             self.width[i] = len(piece)
-        self.cache = Segments(self._encode, entries=1_000_000, ids=8_000_000)
+        self.cache = Segments(self._encode, entries=CACHED, ids=CACHED_IDS)
 
     def _encode(self, keys: list) -> tuple[np.ndarray, np.ndarray]:
         """Unseen pieces that start with their space and end with another

@@ -27,7 +27,7 @@ from shopflow.llm.gather import slices
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
-SLICE_BYTES = 8 << 20   # of text, encoded at a time
+SLICE_BYTES = 4 << 20   # of text, encoded at a time
 FORMAT = {
     "compression": "zstd",
     "parquet.writer.version": "v2",
