@@ -21,10 +21,13 @@ Within a task, anchors that repeat, and whole equal surroundings, are
 settled before the shuffle, so of a passage that a third of all documents
 hold, one copy per task moves.
 
-An anchor with more records than a block can hold (a line shorter than
-``LENGTH`` in very many contexts) has no bucket of its own: its windows move
-one by one, by a 128-bit hash of their bytes, the first of equals in a task
-only, so that its contexts spread over all buckets.
+An anchor whose records hold more suffixes than a block is sorted some
+distances at a time, since suffixes at different distances never compare.
+Where even one distance has more than a block (an anchor of more than
+``block / (1 + REACH)`` records: a line shorter than ``LENGTH`` in very many
+contexts), the anchor has no bucket of its own: its windows move one by one,
+by a 128-bit hash of their bytes, the first of equals in a task only, so that
+its contexts spread over all buckets.
 """
 
 from __future__ import annotations
@@ -53,7 +56,7 @@ BLOCK = 400_000              # suffixes sorted at a time
 HELD = 24 << 20              # bytes a task holds before it hands them on
 # Positions and spans of documents (measured) up to this size are broadcast;
 # larger ones are joined by shuffle.
-BROADCAST_BYTES = 48 << 20
+BROADCAST_BYTES = 16 << 20
 _PLACE = np.uint64(24)       # bits of a place inside a piece of text
 _PIECE = 8 << 20             # a longer text is searched in overlapping pieces
 _LAST = np.iinfo(np.int64).max
@@ -362,6 +365,22 @@ def _block(h, off, doc, tie, lo, n, raw, at) -> list[np.ndarray]:
     return [doc[r], tie[r], lo[r] + j[runs], lo[r] + j[ends] + LENGTH]
 
 
+def _distances(h, off, doc, tie, lo, n, at, block: int) -> Iterator[tuple]:
+    """The records of a block; or, of one anchor with more suffixes than a
+    block, their parts at some distances before it at a time."""
+    count = n - LENGTH + 1
+    if count.sum() <= block:
+        yield h, off, doc, tie, lo, n, at
+        return
+    step = max(1, block // len(h) - REACH)
+    for near in range(int((off - count + 1).min()), int(off.max()) + 1, step):
+        first = np.clip(off - near - step + 1, 0, count)     # of the suffixes at [near, near + step)
+        stop = np.clip(off - near + 1, 0, count)
+        k = np.flatnonzero(stop > first)
+        f = first[k]
+        yield h[k], off[k] - f, doc[k], tie[k], lo[k] + f, stop[k] - f + LENGTH - 1, at[k] + f
+
+
 def _ranks(text: np.ndarray) -> np.ndarray:
     """Dense ranks of equally long byte strings."""
     words = np.ascontiguousarray(text).view(f"S{text.shape[1]}").ravel() if len(text) else np.zeros(0, "S1")
@@ -406,7 +425,9 @@ def _sorted_buckets(buckets: int, block: int):
                 last = np.searchsorted(total[np.append(group[begin + 1:], len(h)) - 1], before + block, side="right")
                 stop = begin + max(int(last), 1)
                 z = group[stop] if stop < len(group) else len(h)
-                out += _to_docs(buckets, *_block(h[a:z], off[a:z], doc[a:z], tie[a:z], lo[a:z], n[a:z], raw, at[a:z]))
+                some = [x[a:z] for x in (h, off, doc, tie, lo, n, at)]
+                for g, o, d, t_, x, m, w in _distances(*some, block):
+                    out += _to_docs(buckets, *_block(g, o, d, t_, x, m, raw, w))
                 begin = stop
         return pa.Table.from_batches([_rows(out)])
     return run
@@ -434,10 +455,10 @@ def removed_spans(spark: SparkSession, docs: DataFrame, buckets: int | None = No
     keyed = _keyed(docs)
     found = saved(
         keyed.mapInArrow(_anchor_records(buckets), PACKED)
-        .groupBy("bucket").applyInArrow(_repeated(buckets, block // SPAN), PACKED)
+        .groupBy("bucket").applyInArrow(_repeated(buckets, block // (1 + REACH)), PACKED)
         .groupBy("bucket").applyInArrow(_per_doc("pos", lambda p: p.tobytes()), "doc_id long, tie long, pos binary, hot binary"),
         "anchors")
-    # one in block // SPAN of the repeated anchors at most
+    # one in block / (1 + REACH) of the repeated anchors at most
     hot = np.frombuffer(b"".join(r["hot"] for r in found.where("hot is not null").select("hot").collect()), np.uint64)
     places = found.where("hot is null").drop("hot")
     return saved(
