@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopflow.llm.byte_tokens import byte_tokens
 from shopflow.llm.token_store import crc, ids_of, part_offsets, read_tokens, write_tokens
 
 WINDOW = 2048
@@ -39,6 +40,7 @@ def pieces(spark: SparkSession, path: str, window: int = WINDOW, with_ids: bool
     offsets = part_offsets(tokens)
 
     def run(batches):
+        byte_tokens.cache_clear()   # this worker may have encoded in pass one: let go of what it holds
         for b in batches:
             flat, o = ids_of(b.column("ids"))
             n = b.column("n_tokens").to_numpy()

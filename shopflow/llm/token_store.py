@@ -109,6 +109,7 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
     offsets = part_offsets(tokens)
 
     def run(batches):
+        byte_tokens.cache_clear()   # this worker may have encoded the texts: let go of what it holds
         for b in batches:
             flat, o = ids_of(b.column("ids"))
             start = b.column("local_start").to_numpy() + np.array(
