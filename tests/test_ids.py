@@ -13,7 +13,7 @@ from shopflow.plans import jobs
 from shopflow.sources import feeds, sinks
 
 HEX = "0123456789abcdef0123456789abcd"   # 30 digits
-ODD = ["", "a", HEX, HEX + "ef", HEX + "00", HEX + "EF", HEX + "ef\n", HEX + "efe", HEX + "é", "é" * 8, "x" * 15, "x" * 16,
+ODD = ["", "a", HEX, HEX + "zz", HEX + "ef", HEX + "00", HEX + "EF", HEX + "ef\n", HEX + "efe", HEX + "é", "é" * 8, "x" * 15, "x" * 16,
        "x" * 17, "x" * 15 + "\0", "x" * 16 + "\0", "0123456789abcdef", "ord_001", " ", None]
 
 
@@ -34,7 +34,7 @@ def _orders(spark, customers):
 def test_load_keeps_the_duplicate_that_the_texts_name(spark, tmp):
     rnd = random.Random(7)
     digits = [f"{rnd.getrandbits(128):032x}" for _ in range(200)]
-    for name, more in (("hex", []), ("mixed", ["Z", "~", "a", ""])):
+    for name, more in (("hex", []), ("mixed", ["Z", "~", "a", ""]), ("other", [HEX + "zz"])):
         feed = _orders(spark, [(rnd.choice(digits[:20] + ["ord_1"]), rnd.choice(digits + more)) for _ in range(3000)])
         ids = C.packable_ids(feed, C.ORDERS)
         assert ids == (["order_id", "customer_id"] if name == "hex" else ["order_id"])
