@@ -10,6 +10,8 @@ import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,6 +28,7 @@ from shopflow.llm import sentence_pieces as SP  # noqa: E402
 from shopflow.llm import suffix_dedup as SD  # noqa: E402
 from shopflow.llm import token_store as TS  # noqa: E402
 from shopflow.llm import toxicity as TX  # noqa: E402
+from shopflow.llm.byte_tokens import ByteTokens  # noqa: E402
 
 PIECES, BYTES = P.path("piece_bpe_32k.model"), P.path("byte_bpe_50k.json")
 SPACES = "[\x20\x09-\x0d]+"
@@ -107,6 +110,29 @@ def test_token_store(spark, docs):
     assert "ids" not in meta._jdf.queryExecution().executedPlan().toString()
 
 
+def test_byte_ids_at_borders():
+    """Marks, contractions, runs of white space and rare spaces in any order,
+    alone and behind other texts, as the library encodes the whole text."""
+    rnd, enc = random.Random(11), ByteTokens(BYTES)
+    parts = list(" " * 12 + "\n\n\t\r\x0b\x0c''.,-_\"()aAsStTdm09|<>\x00\x1c\x1f\x7f" + "\xb2\xaa\xe9\xdf\xd7\xf7\u01bb\u023f\u0240\u02b0\u03a9\u044f\u4e2d\u3002\u201c\u2014\U0001f600\ufeff"
+                 "\x85\xa0\u1680\u180e\u2003\u2028\u205f\u3000") + ["'s", "'ll", "<|endoftext|>", "the", "  ", "\n    ", "\xdcnd", ".\nHa"]
+    rows = ["".join(rnd.choice(parts) for _ in range(rnd.choice([0, 1, 2, 3, 5, 8, 40]))) for _ in range(4000)]
+    flat, n = enc.encode(pa.array(["before", *rows])[1:], 0)
+    got = np.split(flat, np.cumsum(n)[:-1])
+    for t, ids in zip(rows, got, strict=True):
+        assert ids.tolist() == enc.library.encode(t, add_special_tokens=False).ids + [0], repr(t)
+
+
+def test_byte_pieces_leave_marks_and_lines_out():
+    """A word is encoded once, whatever mark or line break stands beside it."""
+    enc = ByteTokens(BYTES)
+    names = [a + b + c for a in "bdfgkl" for b in "aeiou" for c in "mnrst"]
+    rows = [" ".join(w + m for w in names) for m in ",.;:!?)"] + ["\n".join(names)]
+    rows += [" ".join(f"{w}.\n{v}" for w in names) for v in names[:5]]
+    enc.encode(pa.array(rows), 0)
+    assert len(enc.cache.index) < 2.2 * len(names)
+
+
 def test_packing(spark, docs):
     ids = byte_ids()
     packed = PK.pack(spark, docs, BYTES, 1, window=256, with_ids=True).cache()
