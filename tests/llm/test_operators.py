@@ -133,6 +133,16 @@ def test_byte_pieces_leave_marks_and_lines_out():
     assert len(enc.cache.index) < 2.2 * len(names)
 
 
+def test_byte_ids_when_the_cache_empties():
+    enc, ids = ByteTokens(BYTES), byte_ids()
+    enc.cache.entries = 0
+    for k in [*range(0, len(DOCS), 5)] * 2:
+        rows = DOCS[k:k + 5]
+        flat, n = enc.encode(pa.array([t or "" for _, t in rows]), 0)
+        assert flat.tolist() == [x for i, _ in rows for x in [*ids[i], 0]]
+        assert n.tolist() == [len(ids[i]) + 1 for i, _ in rows]
+
+
 def test_packing(spark, docs):
     ids = byte_ids()
     packed = PK.pack(spark, docs, BYTES, 1, window=256, with_ids=True).cache()
